@@ -82,7 +82,7 @@ _TYPES = (
 
 _MENTIONS = f"""bt AS (SELECT item_id, {sq.TOK_OF.format('text')} AS w FROM benchmark),
   mw AS (SELECT unnest(w[1:len(w) - 1]) AS a, unnest(w[2:]) AS b FROM bt WHERE len(w) > 1),
-  men AS (SELECT upper(a) || ' ' || b AS mention, CASE length(b) % 3 WHEN 0 THEN 'DISEASE' WHEN 1 THEN 'gene' ELSE '' END
+  men AS (SELECT a || ''' ' || b AS mention, CASE length(b) % 3 WHEN 0 THEN 'DISEASE' WHEN 1 THEN 'gene' ELSE '' END
     AS type FROM mw WHERE length(a) >= 3 AND length(b) >= 3)"""
 
 
@@ -98,7 +98,7 @@ def _mentions(spark, sf):
     pairs = v.table(spark, sf, "benchmark").select(F.inline(F.flatten(words)).alias("a", "b"))
     kind = F.when(F.length("b") % 3 == 0, "DISEASE").when(F.length("b") % 3 == 1, "gene").otherwise("")
     return pairs.where("length(a) >= 3 AND length(b) >= 3").select(
-        F.concat_ws(" ", F.upper("a"), "b").alias("mention"), kind.alias("type")
+        F.concat("a", F.lit("' "), "b").alias("mention"), kind.alias("type")
     )
 
 
@@ -226,7 +226,7 @@ def triple_report(spark, sf):
 
 @query(
     "gazetteer_clean",
-    f"""WITH {_MENTIONS} SELECT DISTINCT {_camel('lower(mention)')} AS term,
+    f"""WITH {_MENTIONS} SELECT DISTINCT {_camel("replace(lower(mention), '''', '')")} AS term,
     CASE WHEN type = '' THEN 'Misc' ELSE upper(type[1]) || lower(type[2:]) END AS type FROM men""",
 )
 def gazetteer_clean(spark, sf):
