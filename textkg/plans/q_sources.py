@@ -28,12 +28,8 @@ DOCS_PER_FILE = 100
 
 @query(
     "src_wholetext",
-    f"""SELECT doc_id // {DOCS_PER_FILE} AS batch, count(*) AS n_files, sum(n)::BIGINT AS n_chars, max(m) AS text_md5
-    FROM (SELECT doc_id // {DOCS_PER_FILE} AS doc_id, length(t) AS n, md5(t) AS m FROM
-      (SELECT doc_id // {DOCS_PER_FILE} * {DOCS_PER_FILE} AS doc_id, string_agg(text || chr(10), '' ORDER BY doc_id) AS t
-       FROM documents GROUP BY 1)) GROUP BY 1""".replace(
-        f"SELECT doc_id // {DOCS_PER_FILE} AS batch", "SELECT doc_id AS batch"
-    ),
+    f"""SELECT doc_id // {DOCS_PER_FILE} AS batch, 1::BIGINT AS n_files, sum(length(text) + 1)::BIGINT AS n_chars,
+    md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS text_md5 FROM documents GROUP BY 1""",
 )
 def src_wholetext(spark, sf):
     path = scratch_path(spark, "wholetext")
