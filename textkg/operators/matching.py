@@ -1,9 +1,10 @@
 """Substring matching between two tables as an equi-join.
 
-`text contains term` has no join key of its own. Every term gets one: its prefix of the largest power-of-two length that
-fits, at least half of the term. Every text gets the hashes of all its pieces of those lengths, about
-length * log2(length) rows. The join on the hash then meets every pair that can match, and the containment test removes
-the rest, so the result is exact and no text is paired with terms it shares nothing with.
+`text contains term` has no join key of its own. Every term gets one: the hash of its prefix of the largest power-of-two
+length that fits, at least half of the term. Every text gets the hashes of its pieces of those lengths, about
+length * log2(length) rows. The join on the hash then meets every pair that can match, and the test that the term first
+occurs at the piece's place removes the rest and all repeats, so the result is exact and no text is paired with terms it
+shares nothing with.
 """
 
 from __future__ import annotations
@@ -11,37 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textkg.functions.text import let
+from textkg.session import BROADCAST_BYTES, row_bytes
 
 
-def _top_power(text: Column) -> Column:
-    """The exponent of the largest power of two not above the length: one less than its binary digits."""
-    return F.length(F.bin(F.length(text))) - 1
+def _top_power(length: Column) -> Column:
+    """The exponent of the largest power of two not above a length."""
+    return F.floor(F.log2(length.cast("double")) + 1e-9).cast("int")
 
 
-def _two_to(power: Column) -> Column:
-    return F.pow(F.lit(2.0), power).cast("int")
-
-
-def _piece_hashes(text: Column, min_length: int) -> Column:
-    """Distinct hashes of the pieces of lengths 1, 2, 4, ... that a term of at least `min_length` may start with."""
-    lowest = min_length.bit_length() - 1
-
-    def of_size(t: Column, power: Column) -> Column:
-        return let(
-            _two_to(power),
-            lambda size: F.transform(
-                F.sequence(F.lit(1), F.length(t) - size + 1), lambda at: F.xxhash64(F.substr(t, at, size))
-            ),
-        )
-
-    def pieces(t: Column) -> Column:
-        return F.when(
-            F.length(t) >= min_length,
-            F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(lowest), _top_power(t)), lambda p: of_size(t, p)))),
-        ).otherwise(F.array().cast("array<bigint>"))
-
-    return let(text, pieces)
+def _size(power: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), power)
 
 
 def substring_pairs(
@@ -49,15 +29,32 @@ def substring_pairs(
 ) -> DataFrame:
     """Every row of `texts` joined with every row of `terms` whose term its text contains, each pair once.
 
-    Terms shorter than `min_length` match nothing. Compare is exact; fold case before. Keep `texts` distinct: equal texts
-    are expanded once each.
+    Terms shorter than `min_length` match nothing. Compare is exact; fold case before. Keep `texts` distinct, as equal
+    texts are cut into pieces once each.
+
+    One aggregate over the terms finds the prefix lengths in use and whether they are small enough to broadcast, so pass
+    terms that are cheap to compute or materialized.
     """
-    pieces = texts.select("*", F.explode(_piece_hashes(F.col(text), min_length)).alias("__key"))
-    keyed = terms.where(F.length(term) >= min_length).withColumn(
-        "__key", F.xxhash64(F.left(term, _two_to(_top_power(F.col(term)))))
+    usable = terms.where(F.length(term) >= min_length)
+    shortest, longest, size = usable.agg(
+        F.min(F.length(term)), F.max(F.length(term)), F.sum(row_bytes(usable))
+    ).first()
+    lowest, highest = ((shortest or 1).bit_length() - 1, (longest or 1).bit_length() - 1)
+    keyed = usable.withColumn("__key", F.xxhash64(F.left(term, _size(_top_power(F.length(term))))))
+    if (size or 0) <= BROADCAST_BYTES:
+        keyed = F.broadcast(keyed)
+    length = F.length(text)
+    places = texts.where(length >= 1 << lowest).select(
+        "*", F.explode(F.sequence(F.lit(1), length - ((1 << lowest) - 1))).alias("__at")
+    )
+    powers = F.sequence(F.lit(lowest), F.least(F.lit(highest), _top_power(length - F.col("__at") + 1)))
+    pieces = places.select("*", F.explode(powers).alias("__power")).withColumn(
+        "__key", F.xxhash64(F.substr(text, F.col("__at"), _size(F.col("__power"))))
     )
     return (
-        pieces.join(keyed, "__key").where(F.contains(F.col(text), F.col(term))).drop("__key")
+        pieces.join(keyed, "__key")
+        .where(F.call_function("instr", F.col(text), F.col(term)) == F.col("__at"))
+        .drop("__key", "__at", "__power")
     )
 
 

@@ -24,23 +24,48 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return m / norms
 
 
+# Above the error of single-precision products of unit vectors plus the rounding step.
+_MARGIN = 2e-5
+_CHUNK_ROWS = 512
+
+
+def _chunk_top(q: np.ndarray, c: np.ndarray, same: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, similarity) of the k best columns per row; of equal values the lower columns."""
+    rough = q.astype(np.float32) @ c.astype(np.float32).T
+    rough[same] = -np.inf
+    if rough.shape[1] > k:
+        kth = np.partition(rough, rough.shape[1] - k, axis=1)[:, -k]
+        rows, cols = np.nonzero(rough >= (kth - _MARGIN)[:, None])
+    else:
+        rows, cols = np.nonzero(np.isfinite(rough))
+    finite = np.isfinite(rough[rows, cols])
+    rows, cols = rows[finite], cols[finite]
+    exact = np.empty(len(rows))
+    for at in range(0, len(rows), 1 << 18):
+        part = slice(at, at + (1 << 18))
+        exact[part] = np.einsum("ij,ij->i", q[rows[part]], c[cols[part]])
+    exact = np.round(exact, 6)
+    order = np.lexsort((cols, -exact, rows))
+    rows, cols, exact = rows[order], cols[order], exact[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    kept = place < k
+    return rows[kept], cols[kept], exact[kept]
+
+
 def _block_top(k: int):
     def top(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"id": left["id"].iloc[:0], "neighbour": right["id"].iloc[:0], "similarity": []})
+        # sorted candidates make the lower column the lower id
         right = right.sort_values("id", kind="stable")
         q_ids, c_ids = left["id"].to_numpy(), right["id"].to_numpy()
-        sims = np.round(_unit_rows(left["vector"]) @ _unit_rows(right["vector"]).T, 6)
-        sims[q_ids[:, None] == c_ids[None, :]] = -np.inf
-        if sims.shape[1] > k:
-            kth = -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k]
-            above, equal = sims > kth, sims == kth
-            # of equal values the lowest ids fill the places left; candidates are sorted by id
-            keep = above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(axis=1, keepdims=True)))
-        else:
-            keep = np.ones_like(sims, dtype=bool)
-        rows, cols = np.nonzero(keep & np.isfinite(sims))
-        return pd.DataFrame({"id": q_ids[rows], "neighbour": c_ids[cols], "similarity": sims[rows, cols]})
+        q, c = _unit_rows(left["vector"]), _unit_rows(right["vector"])
+        found = []
+        for at in range(0, len(q_ids), _CHUNK_ROWS):
+            part = slice(at, at + _CHUNK_ROWS)
+            rows, cols, sims = _chunk_top(q[part], c, q_ids[part, None] == c_ids[None, :], k)
+            found.append(pd.DataFrame({"id": q_ids[part][rows], "neighbour": c_ids[cols], "similarity": sims}))
+        return pd.concat(found)
 
     return top
 

@@ -12,6 +12,7 @@ from textkg.operators.matching import substring_pairs
 from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
+from textkg.session import cut_lineage
 
 
 def _phrase(x: str) -> str:
@@ -107,7 +108,8 @@ def _clean(spark, sf):
 
 
 def _triples(spark, sf):
-    return tr.distinct_triples(_clean(spark, sf))
+    """Distinct triples, written once: typing and look-up both read them, and extraction is the costly part."""
+    return cut_lineage(tr.distinct_triples(_clean(spark, sf)))
 
 
 def _entities(triples):
@@ -116,17 +118,22 @@ def _entities(triples):
     return sides.where("entity <> ''").distinct()
 
 
+def _typed(spark, sf, entities):
+    """(entity, type): each distinct entity is read twice, for matching and for the result, so it is written once."""
+    return tr.type_entities(cut_lineage(entities), v.gazetteer(spark, sf))
+
+
 def _typed_side(spark, sf, part):
-    return tr.type_entities(tr.part_set(_clean(spark, sf), part), v.gazetteer(spark, sf))
+    return _typed(spark, sf, tr.part_set(_clean(spark, sf), part))
 
 
 def _all_typed(spark, sf, triples):
-    return tr.type_entities(_entities(triples), v.gazetteer(spark, sf))
+    return _typed(spark, sf, _entities(triples))
 
 
 def _typed_triples(spark, sf):
     t = _triples(spark, sf)
-    return tr.typed_triples(t, _all_typed(spark, sf, t), v.SCHEMA_WORDS)
+    return tr.typed_triples(t, cut_lineage(_all_typed(spark, sf, t)), v.SCHEMA_WORDS)
 
 
 # ---- extraction ---------------------------------------------------------------------------------------------------
@@ -181,7 +188,7 @@ def project_triple(spark, sf):
 
 @query("distinct_spo", f"WITH {_CLEAN} SELECT subject, predicate, object FROM tri")
 def distinct_spo(spark, sf):
-    return _triples(spark, sf)
+    return tr.distinct_triples(_clean(spark, sf))
 
 
 @query(
@@ -194,10 +201,8 @@ def distinct_spo(spark, sf):
     UNPIVOT m ON COLUMNS(*) INTO NAME name VALUE value""",
 )
 def triple_report(spark, sf):
-    counted = (
-        _clean(spark, sf)
-        .groupBy("subject", "predicate", "object")
-        .agg(F.count("*").alias("copies"))
+    counted = cut_lineage(
+        _clean(spark, sf).groupBy("subject", "predicate", "object").agg(F.count("*").alias("copies"))
     )
     not_empty = "subject <> '' OR predicate <> '' OR object <> ''"
     # parts as rows: one grouping yields the distinct subjects, predicates and objects together
@@ -206,10 +211,8 @@ def triple_report(spark, sf):
         F.struct(F.lit("predicates").alias("part"), F.col("predicate").alias("entity")),
         F.struct(F.lit("objects").alias("part"), F.col("object").alias("entity")),
     )
-    part_values = counted.select(F.inline(parts)).where("entity <> ''").distinct()
-    typed = tr.type_entities(
-        part_values.where("part <> 'predicates'").select("entity").distinct(), v.gazetteer(spark, sf)
-    )
+    part_values = cut_lineage(counted.select(F.inline(parts)).where("entity <> ''").distinct())
+    typed = _typed(spark, sf, part_values.where("part <> 'predicates'").select("entity").distinct())
     marked = part_values.join(typed.select("entity", F.lit(1).alias("hit")), "entity", "left")
     part_counts = marked.agg(
         *[F.count_if(F.col("part") == p).alias(p) for p in ("subjects", "predicates", "objects")],
@@ -292,8 +295,8 @@ def entity_union(spark, sf):
         F.struct(F.lit("s").alias("side"), F.col("subject").alias("entity")),
         F.struct(F.lit("o").alias("side"), F.col("object").alias("entity")),
     )
-    held = _clean(spark, sf).select(F.inline(sides)).where("entity <> ''").distinct()
-    typed = tr.type_entities(held.select("entity").distinct(), v.gazetteer(spark, sf))
+    held = cut_lineage(_clean(spark, sf).select(F.inline(sides)).where("entity <> ''").distinct())
+    typed = _typed(spark, sf, held.select("entity").distinct())
     return held.join(typed, "entity").select("entity", "type")
 
 
@@ -309,15 +312,15 @@ def entity_set(spark, sf):
 )
 def triple_semi(spark, sf):
     t = _triples(spark, sf)
-    return tr.triples_with_terms(t, _all_typed(spark, sf, t))
+    return tr.triples_with_terms(t, cut_lineage(_all_typed(spark, sf, t)))
 
 
 def _triple_types(spark, sf):
     t = _triples(spark, sf)
-    gaz = v.gazetteer(spark, sf)
-    typed = {side: tr.type_entities(tr.part_set(t, side), gaz) for side in ("subject", "object")}
-    kept = tr.triples_with_terms(t, _all_typed(spark, sf, t))
-    return tr.triple_types(kept, typed["subject"], typed["object"])
+    typed = cut_lineage(_all_typed(spark, sf, t))
+    kept = cut_lineage(tr.triples_with_terms(t, typed))
+    sides = [typed.join(tr.part_set(t, side), "entity", "left_semi") for side in ("subject", "object")]
+    return tr.triple_types(kept, *sides)
 
 
 @query("triple_types", f"WITH {_TYPES} SELECT * FROM ty")
@@ -348,7 +351,8 @@ def untyped_entities(spark, sf):
 @query("schema_class", f"WITH {_TYPED} SELECT entity, {_schema('entity')} AS class FROM te")
 def schema_class(spark, sf):
     words = spark.createDataFrame(list(enumerate(v.SCHEMA_WORDS)), "ord int, word string")
-    return tr.schema_class_by_table(_all_typed(spark, sf, _clean(spark, sf)).select("entity"), words)
+    entities = cut_lineage(_all_typed(spark, sf, _clean(spark, sf)).select("entity"))
+    return tr.schema_class_by_table(entities, words)
 
 
 @query("schema_class_count", f"WITH {_TYPED} SELECT {_schema('entity')} AS class, count(*) AS n FROM te GROUP BY ALL")

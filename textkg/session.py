@@ -54,11 +54,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize `df` with a reliable checkpoint, so iterative plans stay short and survive lost executors."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write `df` to a table in the shared folder and read it back.
+
+    Iterative plans stay short, work used by several branches is done once, lost executors cost nothing that was written,
+    and later joins see column pruning and real sizes.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -78,3 +81,24 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     again there; a one-element generator is not merged.
     """
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+BROADCAST_BYTES = 64 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """An upper estimate of the size of a row in a hash table, for flat rows."""
+    width = F.lit(32)
+    for f in df.schema.fields:
+        width = width + (F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(16))
+    return width.cast("bigint")
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` with a broadcast hint when its measured size is below `limit`, else `df` as it is.
+
+    The measure is one aggregate over `df`, so call this on sides that are cheap to compute or already materialized. Beyond
+    the limit the join shuffles, and AQE splits its skewed partitions.
+    """
+    size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
