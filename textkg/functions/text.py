@@ -15,11 +15,11 @@ SENTENCE_BREAK = r"[.!?]+\s+|\n+"
 
 # The cleanup rules for abstracts, applied in this order (pattern, replacement).
 CLEANUP_RULES = (
-    (r"\([^)]*\)", ""),
+    (r"\(.*?\)", ""),
     (r"/", " "),
     (r"[',%]", ""),
-    (r" \d+ ", " "),
-    (r" \d+\.\d+ ", " "),
+    (r"\s[0-9]+\s", " "),
+    (r"\s[0-9]+[.][0-9]+\s", " "),
 )
 
 # A short default; callers pass their own list for anything else.
@@ -86,7 +86,7 @@ def ngrams_up_to(words: Column, n: int) -> Column:
 
 
 def counted(items: Column) -> Column:
-    """array<struct<item,n>> of an array of strings: run lengths of the sorted array, inside the row."""
+    """array<struct<item,n>> of an array: run lengths of the sorted array, inside the row."""
     return let(
         F.array_sort(items),
         lambda s: let(

@@ -24,28 +24,29 @@ def _matches(kg: DataFrame, pattern: Pattern) -> DataFrame:
     return out.select(*[F.col(column).alias(name) for name, column in named.items()])
 
 
-def bgp(kg: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
+def bgp(kg: DataFrame, patterns: Sequence[Pattern], facts: Sequence[DataFrame] | None = None) -> DataFrame:
     """Basic graph pattern: strings starting with `?` are variables, others constants.
 
     Patterns are joined on the variables they share; one that shares none with the rest is refused, as its result would
-    be a product.
+    be a product. `facts` gives each pattern a table of its own instead of `kg`.
     """
-    left = list(patterns)
-    out = _matches(kg, left.pop(0))
+    left = list(zip(patterns, facts if facts is not None else [kg] * len(patterns)))
+    first, source = left.pop(0)
+    out = _matches(source, first)
     while left:
-        following = next(
-            (p for p in left if any(t[1:] in out.columns for t in p if t.startswith("?"))),
-            None,
+        at = next(
+            (i for i, (p, _) in enumerate(left) if any(t[1:] in out.columns for t in p if t.startswith("?"))), None
         )
-        if following is None:
-            raise ValueError(f"patterns share no variable with the rest: {left}")
-        left.remove(following)
-        right = _matches(kg, following)
+        if at is None:
+            raise ValueError(f"patterns share no variable with the rest: {[p for p, _ in left]}")
+        following, source = left.pop(at)
+        right = _matches(source, following)
         shared = [c for c in right.columns if c in out.columns]
         # a pattern whose variables are all known only tests, so it must not multiply rows
         how = "left_semi" if set(right.columns) == set(shared) else "inner"
         out = out.join(right, shared, how)
-    return out
+    named = dict.fromkeys(t[1:] for p in patterns for t in p if t.startswith("?"))
+    return out.select(*named)
 
 
 def instances(types: DataFrame, class_closure: DataFrame) -> DataFrame:

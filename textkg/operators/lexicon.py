@@ -70,7 +70,7 @@ def word_distance(pairs: DataFrame, closure: DataFrame) -> DataFrame:
 
 def annotate(doc_terms: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(doc_id, word, n): dictionary words of each document, from (doc_id, word, n) of distinct terms."""
-    return doc_terms.join(lexicon.select("word").distinct(), "word", "left_semi").select("doc_id", "word", "n")
+    return doc_terms.join(lexicon, "word", "left_semi").select("doc_id", "word", "n")
 
 
 def annotate_ancestors(annotated: DataFrame, closure: DataFrame, levels: int) -> DataFrame:

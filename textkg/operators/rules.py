@@ -77,9 +77,17 @@ def _fact(pattern: Pattern) -> Column:
     return F.struct(*[_term(t).alias(n) for n, t in zip(("s", "p", "o"), pattern)])
 
 
-def derive(kg: DataFrame, rule: Rule, registry: Mapping[str, Definition] = BUILTINS) -> DataFrame:
-    """(s, p, o, rule, premises): what one rule derives from the facts, one row per set of premises."""
-    rows = bgp(kg, rule.body)
+def derive(
+    kg: DataFrame,
+    rule: Rule,
+    registry: Mapping[str, Definition] = BUILTINS,
+    facts: Sequence[DataFrame] | None = None,
+) -> DataFrame:
+    """(s, p, o, rule, premises): what one rule derives from the facts, one row per set of premises.
+
+    `facts` gives each body atom a table of its own.
+    """
+    rows = bgp(kg, rule.body, facts)
     for builtin in rule.builtins:
         rows = builtin.apply(rows, registry)
     return rows.select(
@@ -94,17 +102,32 @@ def derive_all(kg: DataFrame, rules: Sequence[Rule], registry: Mapping[str, Defi
 
 
 def fixpoint(kg: DataFrame, rules: Sequence[Rule], registry: Mapping[str, Definition] = BUILTINS) -> DataFrame:
-    """(s, p, o, round): the facts (round 0) and everything the rules derive until nothing new appears."""
+    """(s, p, o, round): the facts (round 0) and everything the rules derive until nothing new appears.
+
+    After the first round a derivation must use a fact of the round before: each rule runs once per body atom, with that
+    atom on the new facts only.
+    """
     rounds = [cut_lineage(kg.select("s", "p", "o").distinct().withColumn("round", F.lit(0)))]
+    derived = derive_all(rounds[0].select("s", "p", "o"), rules, registry)
     while True:
         facts = reduce(DataFrame.unionByName, rounds)
-        new = derive_all(facts.select("s", "p", "o"), rules, registry).select("s", "p", "o").distinct()
+        new = derived.select("s", "p", "o").distinct()
         fresh = cut_lineage(
             new.join(facts, ["s", "p", "o"], "left_anti").withColumn("round", F.lit(len(rounds)))
         )
         if fresh.isEmpty():
             return facts
         rounds.append(fresh)
+        known = reduce(DataFrame.unionByName, rounds).select("s", "p", "o")
+        latest = fresh.select("s", "p", "o")
+        derived = reduce(
+            DataFrame.unionByName,
+            [
+                derive(known, rule, registry, [latest if i == at else known for i in range(len(rule.body))])
+                for rule in rules
+                for at in range(len(rule.body))
+            ],
+        )
 
 
 def rule_list(rules: Sequence[Rule], derived: DataFrame) -> DataFrame:

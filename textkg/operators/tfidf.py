@@ -73,15 +73,17 @@ def bucket_of(term: Column) -> Column:
 def hashed_scores(docs: DataFrame, terms: str = "words") -> DataFrame:
     """(term, bucket, score) by hash bucket: terms of a bucket share counts, and the last document's score stands.
 
-    Bucket figures and the list of terms come from the document rows; colliding terms meet in the join on bucket.
+    Bucket counts of a document come from its own row; colliding terms meet in the join on bucket.
     """
-    tf = term_frequency(docs, terms).withColumn("bucket", bucket_of(F.col("term")))
-    per_doc = tf.groupBy("doc_id", "bucket").agg(F.sum("tf").alias("tf"))
+    buckets = F.transform(F.col(terms), bucket_of)
+    per_doc = docs.select("doc_id", F.inline(counted(buckets)).alias("bucket", "tf"))
     per_bucket = per_doc.groupBy("bucket").agg(
         F.count("*").alias("df"), F.max_by("tf", "doc_id").alias("tf")
     )
     scored = per_bucket.select(
         "bucket", (F.col("tf") * idf_of(n_documents(docs), F.col("df"))).alias("score")
     )
-    vocabulary = tf.select("term", "bucket").distinct()
+    vocabulary = (
+        docs.select(F.explode(F.array_distinct(terms)).alias("term")).distinct().withColumn("bucket", bucket_of(F.col("term")))
+    )
     return vocabulary.join(scored, "bucket").select("term", "bucket", "score")

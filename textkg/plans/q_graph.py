@@ -15,6 +15,7 @@ from textkg.operators.rules import Rule, derive_all, fixpoint, rule_list
 from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
+from textkg.session import broadcast_if_small
 
 _KG = """kg AS (SELECT 'customer:' || c_custkey AS s, 'inNation' AS p, 'nation:' || c_nationkey AS o FROM customer
   UNION ALL SELECT 'supplier:' || s_suppkey, 'inNation', 'nation:' || s_nationkey FROM supplier
@@ -552,7 +553,7 @@ _ANN = f"""{sq.TOKENS}, an AS (SELECT doc_id, w AS word, count(*) AS n FROM tok
 
 @query("annotate_text", f"WITH {_LEX_UP}, {_ANN} SELECT doc_id, word, CAST(n AS INTEGER) AS n FROM an")
 def annotate_text(spark, sf):
-    return lx.annotate(_doc_terms(spark, sf), v.lexicon(spark, sf))
+    return lx.annotate(_doc_terms(spark, sf), broadcast_if_small(v.lexicon(spark, sf)))
 
 
 @query(
@@ -562,5 +563,5 @@ def annotate_text(spark, sf):
 )
 def annotate_hierarchy(spark, sf):
     closure = cl.transitive_closure(v.lex_hyper(spark, sf), "child", "parent", max_depth=3)
-    annotated = lx.annotate(_doc_terms(spark, sf), v.lexicon(spark, sf))
+    annotated = lx.annotate(_doc_terms(spark, sf), broadcast_if_small(v.lexicon(spark, sf)))
     return lx.annotate_ancestors(annotated, closure.withColumnRenamed("child", "word"), 3)

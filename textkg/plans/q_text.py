@@ -11,7 +11,7 @@ from textkg.functions import text as tx
 from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
-from textkg.session import once
+from textkg.session import broadcast_if_small, once
 
 # The punctuation entries a token list is filtered by.
 PUNCTUATION = (".", ",", ":", ";", "?", "!", "(", ")", "'", '"', "-", "|")
@@ -20,7 +20,8 @@ PUNCTUATION = (".", ",", ":", ";", "?", "!", "(", ")", "'", '"', "-", "|")
 @query(
     "clean_text",
     r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
-    '\([^)]*\)', '', 'g'), '/', ' ', 'g'), '['',%]', '', 'g'), ' \d+ ', ' ', 'g'), ' \d+\.\d+ ', ' ', 'g') AS cleaned
+    '\(.*?\)', '', 'g'), '/', ' ', 'g'), '['',%]', '', 'g'), '\s[0-9]+\s', ' ', 'g'),
+    '\s[0-9]+[.][0-9]+\s', ' ', 'g') AS cleaned
     FROM documents""",
 )
 def clean_text(spark, sf):
@@ -107,6 +108,7 @@ def lemmatize(spark, sf):
         .where(F.length("word") > 6)
         .select(F.col("word").alias("surface"), F.left("word", F.lit(5)).alias("lemma"), F.lit("nn").alias("pos"))
     )
+    dictionary = broadcast_if_small(dictionary)
     # one row per document and distinct surface, so the dictionary join sees each word of a document once
     words = v.doc_tokens(spark, sf).select("doc_id", F.inline(tx.counted(F.col("words"))).alias("surface", "n"))
     tagged = tg.with_dictionary(words, dictionary).where(F.length("lemma") > 1)

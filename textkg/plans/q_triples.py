@@ -12,7 +12,7 @@ from textkg.operators.matching import substring_pairs
 from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
-from textkg.session import cut_lineage
+from textkg.session import broadcast_if_small, cut_lineage
 
 
 def _phrase(x: str) -> str:
@@ -243,7 +243,8 @@ _ANNOTATIONS = f"""{sq.TOKENS}, {sq.GAZETTEER},
 def _doc_mentions(spark, sf):
     """(doc_id, mention, type, n): counted before the join, so a word moves once per document."""
     words = v.doc_tokens(spark, sf).select("doc_id", F.inline(tx.counted(F.col("words"))).alias("mention", "n"))
-    return words.join(v.gazetteer(spark, sf).withColumnRenamed("term", "mention"), "mention")
+    gazetteer = broadcast_if_small(v.gazetteer(spark, sf).withColumnRenamed("term", "mention"))
+    return words.join(gazetteer, "mention")
 
 
 @query("mention_count", f"WITH {_ANNOTATIONS} SELECT mention, count(*) AS n FROM ann GROUP BY mention")

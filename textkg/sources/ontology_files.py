@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textkg.session import cut_lineage
+
 FILE_SCHEMAS = {
     "Classes": "class string",
     "SubClasses": "parent string, child string",
@@ -98,6 +100,8 @@ def write_owl_xml(axioms: DataFrame, path: str, kinds: Sequence[str]) -> list[st
         "ObjectPropertyAssertion": {"ObjectProperty": p, "NamedIndividual": F.array(s, o)},
         "DataPropertyAssertion": {"DataProperty": p, "NamedIndividual": s, "Literal": literal},
     }
+    # every kind scans the axioms, so they are computed once
+    axioms = cut_lineage(axioms)
     folders = []
     for kind in kinds:
         rows = axioms.where(F.col("kind") == kind).select(*[c.alias(n) for n, c in elements[kind].items()])
