@@ -88,7 +88,7 @@ def ngrams_up_to(words: Column, n: int) -> Column:
 def counted(items: Column) -> Column:
     """array<struct<item,n>> of an array: run lengths of the sorted array, inside the row."""
     return let(
-        F.array_sort(items),
+        F.sort_array(items),
         lambda s: let(
             F.filter(
                 F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull()

@@ -49,8 +49,8 @@ def noun_verb_sets(corpus: DataFrame) -> DataFrame:
         "doc_id",
         F.size("nn").cast("bigint").alias("n_nouns"),
         F.size("vb").cast("bigint").alias("n_verbs"),
-        F.array_sort(F.array_distinct("nn")).alias("nouns"),
-        F.array_sort(F.array_distinct("vb")).alias("verbs"),
+        F.sort_array(F.array_distinct("nn")).alias("nouns"),
+        F.sort_array(F.array_distinct("vb")).alias("verbs"),
     )
 
 

@@ -16,9 +16,10 @@ def key_lists(df: DataFrame, key: str, value: str, max_list: int = MAX_LIST) ->
     are dealt evenly too, so a value repeated without end spreads like any other.
     """
     grouped = df.groupBy(key, value).agg(F.count("*").alias("__copies"))
+    # key sizes come from the key column alone, combined before the shuffle
     large = (
-        grouped.groupBy(key)
-        .agg(F.sum("__copies").alias("__n"))
+        df.groupBy(key)
+        .agg(F.count("*").alias("__n"))
         .where(F.col("__n") > max_list)
         .select(key, F.ceil(F.col("__n") / max_list).cast("bigint").alias("__parts"))
     )
@@ -32,7 +33,7 @@ def key_lists(df: DataFrame, key: str, value: str, max_list: int = MAX_LIST) ->
             value,
             F.pmod(F.xxhash64(value) % F.col("__parts") + F.col("__hand"), F.col("__parts")).alias("part"),
             (
-                F.floor(F.col("__copies") / F.col("__hands"))
+                F.expr("__copies div __hands")
                 + F.when(F.col("__hand") < F.col("__copies") % F.col("__hands"), 1).otherwise(0)
             )
             .cast("int")

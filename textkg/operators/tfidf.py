@@ -22,26 +22,33 @@ def idf_of(n_docs: Column, df: Column) -> Column:
 
 
 def n_documents(docs: DataFrame) -> Column:
-    """The number of documents as a scalar subquery."""
+    """The number of documents as a scalar subquery.
+
+    Give the functions below the count of the plain document table: counting a table of prepared terms prepares them again.
+    """
     return docs.agg(F.count("*")).scalar()
 
 
-def inverse_document_frequency(docs: DataFrame, terms: str = "words") -> DataFrame:
+def _total(docs: DataFrame, n_docs: Column | None) -> Column:
+    return n_documents(docs) if n_docs is None else n_docs
+
+
+def inverse_document_frequency(docs: DataFrame, terms: str = "words", n_docs: Column | None = None) -> DataFrame:
     """(term, df, idf)."""
     seen = docs.select(F.explode(F.array_distinct(terms)).alias("term"))
     return (
         seen.groupBy("term")
         .agg(F.count("*").alias("df"))
-        .withColumn("idf", idf_of(n_documents(docs), F.col("df")))
+        .withColumn("idf", idf_of(_total(docs, n_docs), F.col("df")))
     )
 
 
-def tfidf(docs: DataFrame, terms: str = "words") -> DataFrame:
+def tfidf(docs: DataFrame, terms: str = "words", n_docs: Column | None = None) -> DataFrame:
     """(doc_id, term, tf, score) of every document term.
 
     The join has one row per term on the frequency side, so AQE can split a term that is in most documents.
     """
-    weights = inverse_document_frequency(docs, terms).select("term", "idf")
+    weights = inverse_document_frequency(docs, terms, n_docs).select("term", "idf")
     return (
         term_frequency(docs, terms)
         .join(weights, "term")
@@ -49,12 +56,14 @@ def tfidf(docs: DataFrame, terms: str = "words") -> DataFrame:
     )
 
 
-def term_scores(docs: DataFrame, terms: str = "words", keep: str = "max") -> DataFrame:
+def term_scores(
+    docs: DataFrame, terms: str = "words", keep: str = "max", n_docs: Column | None = None
+) -> DataFrame:
     """(term, df, score): the best score of a term, or with keep='last' its score in the last document holding it."""
     tf = F.max("tf") if keep == "max" else F.max_by("tf", "doc_id")
     per_term = term_frequency(docs, terms).groupBy("term").agg(F.count("*").alias("df"), tf.alias("tf"))
     return per_term.select(
-        "term", "df", (F.col("tf") * idf_of(n_documents(docs), F.col("df"))).alias("score")
+        "term", "df", (F.col("tf") * idf_of(_total(docs, n_docs), F.col("df"))).alias("score")
     )
 
 
@@ -70,7 +79,7 @@ def bucket_of(term: Column) -> Column:
     return F.conv(F.left(F.md5(term.cast("binary")), F.lit(5)), 16, 10).cast("bigint")
 
 
-def hashed_scores(docs: DataFrame, terms: str = "words") -> DataFrame:
+def hashed_scores(docs: DataFrame, terms: str = "words", n_docs: Column | None = None) -> DataFrame:
     """(term, bucket, score) by hash bucket: terms of a bucket share counts, and the last document's score stands.
 
     Bucket counts of a document come from its own row; colliding terms meet in the join on bucket.
@@ -81,7 +90,7 @@ def hashed_scores(docs: DataFrame, terms: str = "words") -> DataFrame:
         F.count("*").alias("df"), F.max_by("tf", "doc_id").alias("tf")
     )
     scored = per_bucket.select(
-        "bucket", (F.col("tf") * idf_of(n_documents(docs), F.col("df"))).alias("score")
+        "bucket", (F.col("tf") * idf_of(_total(docs, n_docs), F.col("df"))).alias("score")
     )
     vocabulary = (
         docs.select(F.explode(F.array_distinct(terms)).alias("term")).distinct().withColumn("bucket", bucket_of(F.col("term")))

@@ -18,6 +18,10 @@ from textkg.session import once, spread
 # ---- counts over documents ----------------------------------------------------------------------------------------
 
 
+def _n_docs(spark, sf):
+    return ti.n_documents(v.table(spark, sf, "documents"))
+
+
 def _kept_lemmas(spark, sf):
     return ct.lemma_tokens(v.corpus(spark, sf)).where(~F.col("lemma").isin(*tx.STOPWORDS))
 
@@ -84,7 +88,7 @@ def dict_semi(spark, sf):
 def grand_totals(spark, sf):
     per_lemma = ct.lemma_tokens(v.corpus(spark, sf)).groupBy("lemma").agg(F.count("*").alias("n"))
     return per_lemma.agg(
-        ti.n_documents(v.table(spark, sf, "documents")).alias("n_docs"),
+        _n_docs(spark, sf).alias("n_docs"),
         F.sum("n").alias("n_lemmas"),
         F.count("*").alias("n_distinct"),
         F.sum(F.length("lemma") * F.col("n")).alias("n_chars"),
@@ -157,7 +161,7 @@ def corpus_report(spark, sf):
     flagged = ct.dictionary_hits(counted, "lemma", v.lexicon(spark, sf))
     return ct.metric_rows(
         flagged.agg(
-            ti.n_documents(v.table(spark, sf, "documents")).alias("documents"),
+            _n_docs(spark, sf).alias("documents"),
             F.sum("n").alias("lemmas"),
             F.count("*").alias("distinct_lemmas"),
             F.sum("hits").alias("dictionary_hits"),
@@ -181,7 +185,7 @@ def tf_exact(spark, sf):
 
 @query("idf", f"{_TFN} SELECT term, df, round(ln((nd + 1) / (df + 1)), 6) AS idf FROM idf, nd")
 def idf(spark, sf):
-    return ti.inverse_document_frequency(v.doc_tokens(spark, sf)).withColumn("idf", F.round("idf", 6))
+    return ti.inverse_document_frequency(v.doc_tokens(spark, sf), n_docs=_n_docs(spark, sf)).withColumn("idf", F.round("idf", 6))
 
 
 @query(
@@ -189,7 +193,7 @@ def idf(spark, sf):
     f"{_TFN} SELECT doc_id, term, round(tf * ln((nd + 1) / (df + 1)), 6) AS score FROM tf JOIN idf USING (term), nd",
 )
 def tfidf_doc_term(spark, sf):
-    return ti.tfidf(v.doc_tokens(spark, sf)).select("doc_id", "term", F.round("score", 6).alias("score"))
+    return ti.tfidf(v.doc_tokens(spark, sf), n_docs=_n_docs(spark, sf)).select("doc_id", "term", F.round("score", 6).alias("score"))
 
 
 @query(
@@ -198,7 +202,8 @@ def tfidf_doc_term(spark, sf):
     SELECT term, round(tf * ln((nd + 1) / (df + 1)), 6) AS score FROM l JOIN idf USING (term), nd""",
 )
 def tfidf_last_doc(spark, sf):
-    return ti.term_scores(v.doc_tokens(spark, sf), keep="last").select("term", F.round("score", 6).alias("score"))
+    scores = ti.term_scores(v.doc_tokens(spark, sf), keep="last", n_docs=_n_docs(spark, sf))
+    return scores.select("term", F.round("score", 6).alias("score"))
 
 
 @query(
@@ -207,7 +212,8 @@ def tfidf_last_doc(spark, sf):
     SELECT term, round(tf * ln((nd + 1) / (df + 1)), 6) AS score FROM l JOIN idf USING (term), nd""",
 )
 def tfidf_ranked(spark, sf):
-    scores = ti.term_scores(v.doc_tokens(spark, sf)).select("term", F.round("score", 6).alias("score"))
+    scores = ti.term_scores(v.doc_tokens(spark, sf), n_docs=_n_docs(spark, sf))
+    scores = scores.select("term", F.round("score", 6).alias("score"))
     return scores.orderBy(F.desc("score"), "term")
 
 
@@ -237,7 +243,8 @@ def _gram_scores_sql(grams: str) -> str:
 
 def _gram_scores(spark, sf, grams):
     docs = v.doc_tokens(spark, sf)
-    scored = ti.term_scores(docs.select("doc_id", grams(tx.drop_words(F.col("words"))).alias("words")))
+    grams_of = docs.select("doc_id", grams(tx.drop_words(F.col("words"))).alias("words"))
+    scored = ti.term_scores(grams_of, n_docs=_n_docs(spark, sf))
     return scored.withColumn("score", F.round("score", 6)).orderBy(F.desc("score"), "term").limit(100)
 
 
@@ -265,7 +272,7 @@ def tfidf_ngrams(spark, sf):
     FROM hb JOIN pb USING (bucket)""",
 )
 def tfidf_hashed(spark, sf):
-    return ti.hashed_scores(v.doc_tokens(spark, sf)).withColumn("score", F.round("score", 6))
+    return ti.hashed_scores(v.doc_tokens(spark, sf), n_docs=_n_docs(spark, sf)).withColumn("score", F.round("score", 6))
 
 
 # ---- keyed operators ----------------------------------------------------------------------------------------------
