@@ -18,7 +18,7 @@ BLOCK_ROWS = 4096
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    m = np.asarray(vectors.tolist(), dtype=np.float64)
+    m = np.stack(vectors.to_numpy()).astype(np.float64, copy=False)
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     norms[norms == 0] = 1.0
     return m / norms

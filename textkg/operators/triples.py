@@ -57,22 +57,18 @@ def clean_gazetteer(mentions: DataFrame) -> DataFrame:
 
 
 def type_entities(entities: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """(entity, type) of the distinct entities that contain a gazetteer term, ignoring case.
+    """(entity, type) of the entities that contain a gazetteer term, ignoring case; entities are distinct.
 
     The longest term wins, then the alphabetically first; terms of two letters or less are not used.
     """
-    folded = entities.select(F.lower("entity").alias("__folded")).distinct()
+    folded = entities.select("entity", F.lower("entity").alias("__folded"))
     terms = gazetteer.select(F.lower("term").alias("__term"), "type").distinct()
-    typed = first_match(
-        folded,
-        "__folded",
-        terms,
-        "__term",
-        "type",
-        [-F.length("__term"), F.col("__term"), F.col("type")],
-        min_length=3,
+    order = F.struct(-F.length("__term"), F.col("__term"), F.col("type"))
+    return (
+        substring_pairs(folded, "__folded", terms, "__term", min_length=3)
+        .groupBy("entity")
+        .agg(F.min_by("type", order).alias("type"))
     )
-    return entities.join(typed, F.lower("entity") == F.col("__folded")).select("entity", "type")
 
 
 def schema_class(entity: Column, words: Sequence[str]) -> Column:

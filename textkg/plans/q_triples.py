@@ -119,8 +119,8 @@ def _entities(triples):
 
 
 def _typed(spark, sf, entities):
-    """(entity, type): each distinct entity is read twice, for matching and for the result, so it is written once."""
-    return tr.type_entities(cut_lineage(entities), v.gazetteer(spark, sf))
+    """(entity, type) of distinct entities."""
+    return tr.type_entities(entities, v.gazetteer(spark, sf))
 
 
 def _typed_side(spark, sf, part):
