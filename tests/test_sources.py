@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -201,3 +202,15 @@ def test_broadcast_only_below_the_limit(spark):
 def test_file_schemas_parse(spark, tmp_path, name):
     put(tmp_path, "f", "a,b,c,d\n")
     assert of.read_ontology_file(spark, str(tmp_path), name).count() == 1
+
+
+def _session(master, named=None):
+    context = SimpleNamespace(master=master, applicationId="app-1", getCheckpointDir=lambda: None)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=context)
+
+
+def test_shared_dir_comes_from_the_session():
+    assert shared_dir(_session("spark://host", "s3a://bucket/shared")) == "s3a://bucket/shared"
+    assert shared_dir(_session("local[2]")) == shared_dir(_session("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_dir(_session("spark://host"))

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Folders made for local sessions without the setting, by application id.
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(app: str = "textkg", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for; `conf` keys use `__` for dots."""
@@ -42,10 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="textkg-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    spark.conf.set(_CHECKPOINT_KEY, made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="textkg-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
