@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textkg.llm import quality
+from textkg.llm import bpe, packing, quality
 from textkg.llm.common import table
 
+VOCABULARY = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary_path() -> str:
+    """The vocabulary file of the public tokenizer, which every executor has installed."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(VOCABULARY))
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -28,3 +37,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op2_bpe_round_trip")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
