@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textkg.llm import bpe, chat, packing, quality
+from textkg.llm import bpe, chat, ctw, packing, quality
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -54,3 +54,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)]
     probe = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     return chat.conversation_digests(table(spark, sf_dir, "conversations").select(probe.columns).unionByName(probe))
+
+
+@query("op4_context_tree")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
