@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textkg.llm import bpe, chat, ctw, packing, quality
+from textkg.llm import bpe, chat, ctw, packing, quality, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,3 +59,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_context_tree")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
