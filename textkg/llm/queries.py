@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textkg.llm import bpe, chat, ctw, packing, quality, toxicity
+from textkg.llm import bpe, chat, ctw, langid, packing, quality, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -64,3 +64,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
