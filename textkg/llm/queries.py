@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textkg.llm import bpe, chat, ctw, langid, packing, quality, toxicity
+from textkg.llm import ann, bpe, chat, ctw, langid, packing, quality, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -69,3 +70,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op7_nearest_vectors")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
