@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkg.llm import ann, bpe, chat, ctw, langid, packing, quality, toxicity
+from textkg.llm import ann, bpe, chat, ctw, langid, packing, quality, suffix_dedup, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -75,3 +75,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_nearest_vectors")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.span_digests(table(spark, sf_dir, "documents"))
