@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkg.llm import ann, bpe, chat, ctw, langid, packing, quality, suffix_dedup, toxicity
+from textkg.llm import ann, bpe, chat, ctw, langid, ngram_join, packing, quality, suffix_dedup, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -80,3 +80,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.span_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
