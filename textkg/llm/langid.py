@@ -125,11 +125,15 @@ def train(docs: DataFrame, sample: DataFrame, ridge: float = RIDGE) -> tuple[lis
 
 def identify_languages(
     docs: DataFrame, folds: int = 5, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS,
+    per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, carry: bool = False,
 ) -> DataFrame:
-    """doc_id, held_out, lang_pred and score for every row of `docs`, which also gives the training labels."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    languages, folded = train(rows, labelled_sample(rows, folds, held_out, per_language, landmarks))
+    """doc_id, held_out, lang_pred and score for every row of `docs`, which also gives the training labels.
+
+    With `carry` the whole input row comes along as the struct `row`.
+    """
+    extra = [F.struct(*docs.columns).alias("row")] * carry
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), *extra)
+    languages, folded = train(rows.drop("row"), labelled_sample(rows.drop("row"), folds, held_out, per_language, landmarks))
     shared = docs.sparkSession.sparkContext.broadcast((languages, folded))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,10 +151,19 @@ def identify_languages(
                     guess = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
                 else:
                     p, guess = np.zeros(len(texts)), [UNKNOWN] * len(texts)
+                kept = [part.column(i) for i in ((0, 2) if carry else (0,))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(guess, pa.string()), pa.array(p.astype(float))], names=["doc_id", "lang_pred", "score"]
+                    [*kept, pa.array(guess, pa.string()), pa.array(p.astype(float))],
+                    names=["doc_id", *["row"] * carry, "lang_pred", "score"],
                 )
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
-    return out.select("doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "lang_pred", "score")
+    row_type = f"row {rows.schema['row'].dataType.simpleString()}, " if carry else ""
+    out = rows.select("doc_id", "text", *["row"] * carry).mapInArrow(run, f"doc_id {id_type}, {row_type}lang_pred string, score double")
+    return out.select("doc_id", *["row"] * carry, (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "lang_pred", "score")
+
+
+def drop_unknown_language(docs: DataFrame, least: float = 0.0, **names: str) -> DataFrame:
+    """The rows of `docs` with a known language and a score of at least `least`."""
+    found = identify_languages(docs, carry=True, **names)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")

@@ -315,3 +315,23 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     heads = rows.filter("n > 0").groupBy("label").agg(F.min("d").alias("head"))
     out = rows.filter("n > 0").join(heads, "label").select("d", "n", "head").unionByName(rows.filter("n = 0").select("d", "n", F.col("d").alias("head")))
     return out.select(F.col("d").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("head").alias("component_id"))
+
+
+def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE) -> DataFrame:
+    """`docs` without near duplicates: of each group the row of the smallest id stays; rows with an empty set all stay."""
+    table, labels = linked_sets(docs, id_col, text_col, share)
+    rows = table.join(labels, table["fp"] == labels["node"], "left").withColumn("label", F.coalesce("component", "fp"))
+    heads = rows.filter("n > 0").groupBy("label").agg(F.min(F.struct("d", "t")).alias("r")).select("r.d", "r.t")
+    heads = cut_lineage(heads.unionByName(rows.filter("n = 0").select("d", "t").distinct()))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("d"), F.xxhash64(text).alias("t"))
+    few = heads.count() * 40 <= BROADCAST_BYTES
+    side = heads.withColumnsRenamed({"d": "d2", "t": "t2"})
+    match = whole["d"].eqNullSafe(side["d2"]) & (whole["t"] == side["t2"])
+    kept = whole.join(F.broadcast(side) if few else side, match, "left_semi")
+    twice = rows.filter("n > 0").groupBy("d", "t").count().filter("count > 1")
+    if twice.head(1):  # a row repeated with its id is one document
+        empty = rows.filter("n = 0").select("d", "t").distinct()
+        blank = kept.join(empty, ["d", "t"], "left_semi") if empty.head(1) else kept.limit(0)
+        kept = kept.join(empty, ["d", "t"], "left_anti").dropDuplicates(["d", "t"]).unionByName(blank)
+    return kept.select("row.*")

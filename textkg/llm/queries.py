@@ -85,3 +85,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_ngram_jaccard_join")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # stands beside the package and imports this subpackage itself
+
+    return corpus_pipeline.run(spark, sf_dir)

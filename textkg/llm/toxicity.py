@@ -241,12 +241,15 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 5
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text",
-    max_labelled: int = MAX_LABELLED,
+    max_labelled: int = MAX_LABELLED, carry: bool = False,
 ) -> DataFrame:
-    """doc_id, held_out, score and predicted for every row of `docs`, and the kinds of hits behind them."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, held_out, score and predicted for every row of `docs`, and the kinds of hits behind them.
+
+    With `carry` the whole input row comes along as the struct `row`, so that nothing has to be joined back.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.struct(*docs.columns).alias("row")] * carry)
     wanted = F.broadcast(labelled_sample(labels, folds, held_out, max_labelled))  # at most `max_labelled` rows
-    sample = rows.join(wanted, "doc_id").select("text", "toxic")
+    sample = rows.select("doc_id", "text").join(wanted, "doc_id").select("text", "toxic")
     lexicon = learn_lexicon(sample, "text")
     words, stems = ([t for t, s in lexicon.terms if s == kind] for kind in (False, True))
     n = len(FEATURES)
@@ -273,8 +276,16 @@ def score_toxicity(
     times = seen[:, -1].astype(int)
     weights = fit_weights(np.repeat(seen[:, :n], times, axis=0), np.repeat((seen[:, n] > 0).astype(float), times))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(lambda it: features(it, [0], weights), f"doc_id {id_type}, score double, {figures}")
+    row_type = f"row {rows.schema['row'].dataType.simpleString()}, " if carry else ""
+    kept = [0, 2] if carry else [0]
+    scored = rows.mapInArrow(lambda it: features(it, kept, weights), f"doc_id {id_type}, {row_type}score double, {figures}")
     return scored.select(
-        "doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
+        "doc_id", *["row"] * carry, (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), *[f"hits_{f}" for f in FEATURES],
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **names: str) -> DataFrame:
+    """The rows of `docs` whose score is below the threshold."""
+    scored = score_toxicity(docs, labels, carry=True, **names)
+    return scored.filter(F.col("score") < threshold).select("row.*")
