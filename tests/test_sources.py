@@ -209,8 +209,12 @@ def _session(master, named=None):
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=context)
 
 
-def test_shared_dir_comes_from_the_session():
+def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(_session("spark://host", "s3a://bucket/shared")) == "s3a://bucket/shared"
-    assert shared_dir(_session("local[2]")) == shared_dir(_session("local[2]"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    local = _session("local[2]")
+    local.conf.get = lambda key, *default: warehouse if key == "spark.sql.warehouse.dir" else None
+    local._jvm, local.sparkContext._jsc = spark._jvm, spark.sparkContext._jsc
+    assert f"{warehouse}/textkg-app-1" in shared_dir(local) and shared_dir(local) == shared_dir(local)
     with pytest.raises(RuntimeError):
         shared_dir(_session("spark://host"))

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +10,8 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-# Folders made for local sessions without the setting, by application id.
-_local_dirs: dict[str, str] = {}
+# Folders made for sessions without the setting, by application id.
+_own_dirs: dict[str, str] = {}
 
 
 def build_session(app: str = "textkg", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,8 +34,9 @@ def build_session(app: str = "textkg", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    A local master without that setting (tests) gets a folder of its own. A cluster without it is an error, as
-    a machine-local folder would be lost with its executor.
+    A local master without that setting (tests) gets a folder of this application below the warehouse, which Hadoop's file
+    system makes and removes when the application ends. A cluster without it is an error, as its default warehouse may lie on
+    one machine.
     """
     named = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if named:
@@ -46,10 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="textkg-")
-        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
-    return _local_dirs[app]
+    if app not in _own_dirs:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + f"/textkg-{app}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _own_dirs[app] = path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+    return _own_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
