@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textkg.session import broadcast_if_small
+
 COLUMNS = ("kind", "s", "p", "o", "lit_type", "annotation")
 
 
@@ -79,11 +81,11 @@ def data_property_axioms(properties: DataFrame) -> DataFrame:
 def fact_axioms(triplets: DataFrame, data_properties: DataFrame) -> DataFrame:
     """From triplets(subject, property, object, kind): `Obj` links individuals, `Data` gives a literal, others are left out.
 
-    Literal types come from the declared data properties; an undeclared one is a string.
+    Literal types come from the declared data properties. A property that several domains declare is one row here, `string`
+    unless all of them say `int`; an undeclared one is a string.
     """
-    types = data_properties.select(
-        "property", F.when(F.col("datatype") == "int", "integer").otherwise("string").alias("__lit")
-    ).distinct()
+    kind = F.when(F.col("datatype") == "int", "integer").otherwise("string")
+    types = broadcast_if_small(data_properties.groupBy("property").agg(F.max(kind).alias("__lit")))
     s, p, o = F.col("subject"), F.col("property"), F.col("object")
     made = F.when(F.col("kind") == "Obj", axiom("ObjectPropertyAssertion", s, p, o)).when(
         F.col("kind") == "Data", axiom("DataPropertyAssertion", s, p, o, F.coalesce("__lit", F.lit("string")))
