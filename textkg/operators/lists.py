@@ -2,49 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textkg.session import cut_lineage
+
 MAX_LIST = 100_000
 
 
 def key_lists(df: DataFrame, key: str, value: str, max_list: int = MAX_LIST) -> DataFrame:
-    """(key, part, values): the sorted values of each key.
+    """(key, part, values): the sorted values of each key in chunks of `max_list`.
 
-    A key with up to `max_list` values has the single part 0. A larger one is dealt over as many parts as it needs, so no
-    task gathers more than about `max_list` values and none is dropped. Copies of a value travel as one counted row and
-    are dealt evenly too, so a value repeated without end spreads like any other.
+    `part` is a value's position in the order of its key, divided by `max_list`, whatever the size of the key. Copies of
+    a value travel as one counted row. Positions come from range partitions: a sum inside each range plus the key's total in the
+    ranges before, of which there is one row per key and range; so no task meets a whole key.
     """
-    grouped = df.groupBy(key, value).agg(F.count("*").alias("__copies"))
-    # key sizes come from the key column alone, combined before the shuffle
-    large = (
-        df.groupBy(key)
-        .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") > max_list)
-        .select(key, F.ceil(F.col("__n") / max_list).cast("bigint").alias("__parts"))
-    )
-    dealt = (
-        grouped.join(large, key, "left")
-        .withColumn("__parts", F.coalesce("__parts", F.lit(1).cast("bigint")))
-        .withColumn("__hands", F.least("__copies", "__parts"))
-        .withColumn("__hand", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__hands") - 1)))
-        .select(
-            key,
-            value,
-            F.pmod(F.xxhash64(value) % F.col("__parts") + F.col("__hand"), F.col("__parts")).alias("part"),
-            (
-                F.expr("__copies div __hands")
-                + F.when(F.col("__hand") < F.col("__copies") % F.col("__hands"), 1).otherwise(0)
-            )
-            .cast("int")
-            .alias("__times"),
-        )
+    counted = df.groupBy(key, value).agg(F.count("*").alias("__copies"))
+    ranged = cut_lineage(counted.repartitionByRange(key, value).withColumn("__range", F.spark_partition_id()))
+    until = Window.unboundedPreceding, -1
+    inside = F.sum("__copies").over(Window.partitionBy("__range", key).orderBy(value).rowsBetween(*until))
+    totals = ranged.groupBy(F.col(key).alias("__key"), "__range").agg(F.sum("__copies").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__key").orderBy("__range").rowsBetween(*until))
+    totals = totals.select("__key", "__range", F.coalesce(before, F.lit(0)).alias("__before"))
+    placed = ranged.withColumn("__inside", F.coalesce(inside, F.lit(0)))
+    placed = placed.join(totals, F.col(key).eqNullSafe(F.col("__key")) & (placed["__range"] == totals["__range"]))
+    first = F.col("__before") + F.col("__inside")
+    last = first + F.col("__copies") - 1
+    parts = placed.select(
+        key, F.col(value).alias("v"), first.alias("__first"), last.alias("__last"),
+        F.explode(F.sequence(F.floor(first / max_list), F.floor(last / max_list))).alias("part"),
     )
-    gathered = dealt.groupBy(key, "part").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(value).alias("v"), "__times"))).alias("__runs")
+    times = F.least("__last", (F.col("part") + 1) * max_list - 1) - F.greatest("__first", F.col("part") * max_list) + 1
+    gathered = parts.select(key, "part", F.struct("v", times.cast("int").alias("times")).alias("run")).groupBy(key, "part").agg(
+        F.sort_array(F.collect_list("run")).alias("__runs")
     )
     return gathered.select(
-        key, "part", F.flatten(F.transform("__runs", lambda r: F.array_repeat(r["v"], r["__times"]))).alias("values")
+        key, "part", F.flatten(F.transform("__runs", lambda r: F.array_repeat(r["v"], r["times"]))).alias("values")
     )
 
 

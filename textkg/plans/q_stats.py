@@ -237,15 +237,14 @@ def _gram_scores_sql(grams: str) -> str:
     g AS (SELECT doc_id, unnest({grams}) AS term FROM k WHERE len(w) > 0),
     tf AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY ALL),
     l AS (SELECT term, max(tf) AS tf, count(*) AS df FROM tf GROUP BY term)
-    SELECT term, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS score FROM l
-    ORDER BY score DESC, term LIMIT 100"""
+    SELECT term, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS score FROM l"""
 
 
 def _gram_scores(spark, sf, grams):
     docs = v.doc_tokens(spark, sf)
     grams_of = docs.select("doc_id", grams(tx.drop_words(F.col("words"))).alias("words"))
     scored = ti.term_scores(grams_of, n_docs=_n_docs(spark, sf))
-    return scored.withColumn("score", F.round("score", 6)).orderBy(F.desc("score"), "term").limit(100)
+    return scored.withColumn("score", F.round("score", 6)).orderBy(F.desc("score"), "term")
 
 
 @query("tfidf_bigrams", _gram_scores_sql(_gram_list("2")))
@@ -328,8 +327,9 @@ def reduce_by_key(spark, sf):
 
 @query(
     "group_by_key",
-    """SELECT o_custkey, 0::BIGINT AS part, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS order_keys
-    FROM orders GROUP BY o_custkey""",
+    f"""WITH p AS (SELECT o_custkey, o_orderkey,
+      (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // {ls.MAX_LIST} AS part FROM orders)
+    SELECT o_custkey, part, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS order_keys FROM p GROUP BY o_custkey, part""",
 )
 def group_by_key(spark, sf):
     lists = ls.key_lists(v.table(spark, sf, "orders"), "o_custkey", "o_orderkey")
@@ -368,10 +368,13 @@ def inner_join(spark, sf):
 
 @query(
     "cogroup",
-    """WITH o AS (SELECT o_custkey AS k, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS a FROM orders GROUP BY 1),
-    c AS (SELECT c_custkey AS k, string_agg(c_name, ',' ORDER BY c_name) AS b FROM customer GROUP BY 1)
-    SELECT k AS cust, 0::BIGINT AS part, coalesce(a, '') AS order_keys, coalesce(b, '') AS names
-    FROM o FULL JOIN c USING (k)""",
+    f"""WITH po AS (SELECT o_custkey AS k, o_orderkey AS x,
+      (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // {ls.MAX_LIST} AS part FROM orders),
+    pc AS (SELECT c_custkey AS k, c_name AS x,
+      (row_number() OVER (PARTITION BY c_custkey ORDER BY c_name) - 1) // {ls.MAX_LIST} AS part FROM customer),
+    o AS (SELECT k, part, string_agg(x, ',' ORDER BY x) AS a FROM po GROUP BY 1, 2),
+    c AS (SELECT k, part, string_agg(x, ',' ORDER BY x) AS b FROM pc GROUP BY 1, 2)
+    SELECT k AS cust, part, coalesce(a, '') AS order_keys, coalesce(b, '') AS names FROM o FULL JOIN c USING (k, part)""",
 )
 def cogroup(spark, sf):
     orders = v.table(spark, sf, "orders").select(F.col("o_custkey").alias("cust"), "o_orderkey")

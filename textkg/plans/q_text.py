@@ -255,43 +255,37 @@ def _gram_sql(n: int) -> str:
     return f"""WITH {sq.DOC_TOKENS}, k AS (SELECT doc_id, list_filter(words, lambda x: x NOT IN ({sq.STOP})) AS w FROM dt),
     g AS (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - {n - 1}, 1) + 1),
       lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS gram FROM k WHERE len(w) > 0)
-    SELECT gram, count(*) AS n FROM g GROUP BY gram ORDER BY n DESC, gram LIMIT 50"""
+    SELECT gram, count(*) AS n FROM g GROUP BY gram"""
 
 
-def _top_grams(spark, sf, grams):
+def _gram_counts(spark, sf, grams):
     words = v.doc_tokens(spark, sf).select(tx.drop_words(F.col("words")).alias("w"))
-    return (
-        words.select(F.explode(grams(F.col("w"))).alias("gram"))
-        .groupBy("gram")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "gram")
-        .limit(50)
-    )
+    return words.select(F.explode(grams(F.col("w"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
 
 @query("bigrams", _gram_sql(2))
 def bigrams(spark, sf):
-    return _top_grams(spark, sf, lambda w: tx.ngrams(w, 2))
+    return _gram_counts(spark, sf, lambda w: tx.ngrams(w, 2))
 
 
 @query("trigrams", _gram_sql(3))
 def trigrams(spark, sf):
-    return _top_grams(spark, sf, lambda w: tx.ngrams(w, 3))
+    return _gram_counts(spark, sf, lambda w: tx.ngrams(w, 3))
 
 
 @query(
     "ngrams_1_to_n",
     f"""WITH {sq.DOC_TOKENS}, k AS (SELECT doc_id, list_filter(words, lambda x: x NOT IN ({sq.STOP})) AS w FROM dt)
-    SELECT CAST(z AS INTEGER) AS size, sum(greatest(len(w) - z + 1, 1))::BIGINT AS n_grams
-    FROM k, range(1, 4) r(z) WHERE len(w) > 0 GROUP BY z""",
+    , g AS (SELECT CAST(z AS INTEGER) AS size, unnest(list_transform(range(1, greatest(len(w) - z + 1, 1) + 1),
+      lambda i: array_to_string(w[i:i + z - 1], ' '))) AS gram FROM k, range(1, 4) r(z) WHERE len(w) > 0)
+    SELECT size, gram, count(*) AS n FROM g GROUP BY ALL""",
 )
 def ngrams_1_to_n(spark, sf):
     words = once(v.doc_tokens(spark, sf), "w", tx.drop_words(F.col("words")))
     sizes = F.array(*[F.struct(F.lit(n).alias("size"), tx.ngrams(F.col("w"), n).alias("g")) for n in (1, 2, 3)])
     return (
         words.select(F.inline(sizes))
-        .select("size", F.size("g").alias("n"))
-        .where("n > 0")
-        .groupBy("size")
-        .agg(F.sum("n").alias("n_grams"))
+        .select("size", F.explode("g").alias("gram"))
+        .groupBy("size", "gram")
+        .agg(F.count("*").alias("n"))
     )
