@@ -131,13 +131,33 @@ def typed_triples(triples: DataFrame, typed: DataFrame, words: Sequence[str]) ->
     )
 
 
+# Items up to this length are met through pieces of their holders.
+SHORT_ITEM = 12
+
+
 def _type_by_containment(items: DataFrame, typed: DataFrame) -> DataFrame:
-    """(entity, type): the type of the shortest typed entity that contains the item, then the alphabetically first."""
+    """(entity, type): the type of the shortest typed entity that contains the item, then the alphabetically first.
+
+    Only one holder per item is wanted, so pairs are not formed: holders are cut into their pieces of the lengths that short
+    items have, and the best holder of each distinct piece comes from an aggregation that combines before its shuffle. An item then
+    meets at most one piece. Long items are few per holder and are matched by prefix keys.
+    """
     holders = typed.select(F.col("entity").alias("__holder"), "type")
+    size = F.length("entity")
+    lengths = sorted(r[0] for r in items.where(size <= SHORT_ITEM).select(size).distinct().collect())  # at most SHORT_ITEM rows
     order = F.struct(F.length("__holder"), F.col("__holder"), F.col("type"))
-    return (
-        substring_pairs(holders, "__holder", items, "entity").groupBy("entity").agg(F.min_by("type", order).alias("type"))
+    long_items = items.where(size > SHORT_ITEM)
+    out = substring_pairs(holders, "__holder", long_items, "entity").groupBy("entity").agg(F.min_by("type", order).alias("type"))
+    if not lengths:
+        return out
+    each = holders.select("*", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("__n")).where(F.length("__holder") >= F.col("__n"))
+    cut = F.transform(
+        F.sequence(F.lit(1), F.length("__holder") - F.col("__n") + 1), lambda i: F.substr(F.col("__holder"), i, F.col("__n"))
     )
+    pieces = each.select("__holder", "type", F.explode(F.array_distinct(F.when(F.col("__n") > 0, cut).otherwise(F.array(F.lit(""))))).alias("entity"))
+    best = pieces.groupBy("entity").agg(F.min(F.struct(F.length("__holder").alias("n"), F.col("__holder").alias("h"), F.col("type"))).alias("best"))
+    short = items.where(size <= SHORT_ITEM).join(best, "entity").select("entity", F.col("best.type").alias("type"))
+    return out.unionByName(short)
 
 
 def triple_types(triples: DataFrame, typed_subjects: DataFrame, typed_objects: DataFrame) -> DataFrame:
