@@ -34,10 +34,10 @@ from textkg.session import cut_lineage
 
 LENGTH = 200
 GRAM = 32
-GROUP_ROWS = 1 << 16
-PART_ROWS = 1 << 15
+GROUP_ROWS = 1 << 15
+PART_ROWS = 1 << 13
 BROADCAST_BYTES = 48 << 20
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MASK = (1 << 64) - 1
 
