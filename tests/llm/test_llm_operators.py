@@ -189,10 +189,13 @@ def test_signature_bounds_hold():
         if 100 * len(np.intersect1d(x, y)) < 75 * len(np.union1d(x, y)):
             continue
         px, py = (s[: ngram_join.prefix_size(len(s))] for s in (x, y))
-        counts = {int(v): int(rng.integers(2, 200)) for v in np.union1d(px, py)}
+        assert len(np.intersect1d(px, py)) >= max(ngram_join.required(len(x)), ngram_join.required(len(y)))
+        px, py = (np.frombuffer(ngram_join.parity_bits(s.astype(np.uint64)), np.uint8) for s in (x, y))
+        assert np.bitwise_count(px ^ py).sum() <= len(np.setxor1d(x, y))
+        counts = {int(v): int(rng.integers(2, 200)) for v in np.union1d(x, y)}
         extra = set(pool[n + drop : n + drop + n].tolist())
-        both = set(px.tolist()) & set(py.tolist())
-        sx, sy = (np.array([v for v in p.tolist() if v in both or v in extra or rng.random() < 0.5]) for p in (px, py))
+        both = set(x.tolist()) & set(y.tolist())
+        sx, sy = (np.array([v for v in s.tolist() if v in both or v in extra or rng.random() < 0.5]) for s in (x, y))
         a, b = (ngram_join.set_signatures(len(s), np.array([counts[int(v)] for v in p]), p.astype(np.int64), frequent=20) for s, p in ((x, sx), (y, sy)))
         assert len(np.intersect1d(a, b))
 

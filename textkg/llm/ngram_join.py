@@ -4,14 +4,17 @@ Two texts link when 100 * |x & y| >= 75 * |x | y| for their sets of 5-word shing
 
 1. Texts of equal sets are one set, known by its fingerprint. A set of n shingles can miss at most t = n - ceil(0.75 n) of a
    partner's, so in any common order the first t + l shingles of two partners share at least min(l, l') (extended prefixes). These
-   prefixes, in hash order, are counted. Equal shingles of a batch are one row, so frequent ones stay few rows per task.
-2. A set keeps the shingles of its prefix that occur in other prefixes. With fewer than the r it must share it has no partner. In
-   the order of their counts it indexes shingles until its signatures outnumber the d - r it may miss: rare ones one by one, frequent
-   ones as pairs inside classes dealt by hash. A class with m shingles in the prefix withstands m - 1 misses, so the prefix is extended
-   by one shingle per class. The number of classes follows the size band of the sets, so partners agree on it.
+   prefixes, in hash order, are counted. Equal shingles of a batch are one row, so frequent ones stay few rows per task. A set
+   with fewer shingles in other prefixes than it must share has no partner.
+2. The whole sets of the others are counted the same way. A set of n with fewer than r = ceil(0.75 n) shingles in other sets has
+   no partner, so texts that share only a passage go. Of its d shingles in other sets a set indexes, in the order of their counts, until its
+   signatures outnumber the d - r it may miss: rare ones one by one, frequent ones as pairs inside classes dealt by hash. A class with
+   m shingles in the prefix withstands m - 1 misses, so the prefix is extended by one shingle per class. The number of
+   classes follows the size band of the sets, so partners agree on it.
 3. Each set meets the most central set of its signatures (largest mean count), the one it shares most signatures with. Verified
    links give components. Only signatures that still hold several components are expanded, in blocks, and only into pairs of
-   different components: pairs inside a component can't change the result, all others are verified.
+   different components: pairs inside a component can't change the result. Parities of the sets' hashes over 1024 classes bound how much two
+   sets differ from below; all pairs that this bound lets link are verified.
 
 Sets are held as 64-bit hashes of shingles; verification counts them exactly. Cases: a null, empty or blank text has the empty set
 and is a component of its own; with fewer than 5 words the whole sequence is the one shingle. Repeated rows and equal ids are rows of their own
@@ -37,6 +40,7 @@ WORDS = 5
 SHARE = 75  # per cent
 FREQUENT = 64  # shingles in more prefixes than this are indexed in pairs
 BLOCK = 256
+BITS = 1024
 BROADCAST_BYTES = 48 << 20
 _CHUNK = 4 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -62,7 +66,7 @@ def prefix_size(n: int, share: int = SHARE) -> int:
 
 def classes(band: int, share: int = SHARE) -> int:
     """Classes of frequent shingles for sets of 2^band to 2^(band + 1) - 1; 0: no pairs, all shingles are indexed singly."""
-    return required(1 << band, share) // 2
+    return least_shared(1 << band, share) // 6
 
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> Iterator[np.ndarray]:
@@ -117,39 +121,44 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
-def _sets_table(keyed: DataFrame) -> DataFrame:
-    """(d, t, n, fp) of every row."""
+def _sets_table(keyed: DataFrame, share: int) -> DataFrame:
+    """(d, t, n, fp, need, prefix) of every row; the prefix holds 6 bytes of each hash."""
 
     def run(batches):
         for batch in batches:
-            found = [(len(s), _fingerprint(s)) for s in shingle_sets(batch.column(2).to_pylist())]
-            n, fp = zip(*found) if found else ((), ())
+            rows = []
+            for found in shingle_sets(batch.column(2).to_pylist()):
+                n = len(found)
+                head = (found[: prefix_size(n, share) if n else 0] >> np.uint64(16)).astype("<u8")
+                rows.append((n, _fingerprint(found), required(n, share), head.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
+            n, fp, need, head = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.int64())], names=["d", "t", "n", "fp"]
+                [batch.column(0), batch.column(1), *(pa.array(x, pa.int64()) for x in (n, fp, need)), pa.array(head, pa.binary())],
+                names=["d", "t", "n", "fp", "need", "prefix"],
             )
 
     d = keyed.schema["d"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"d {d}, t long, n long, fp long")
+    return keyed.mapInArrow(run, f"d {d}, t long, n long, fp long, need long, prefix binary")
 
 
-def _texts_of(keyed: DataFrame, sets: DataFrame) -> DataFrame:
-    """(fp, text) of the representatives in `sets` (d, t, fp); these are broadcast only when they are few."""
-    side = sets.select(F.col("d").alias("d2"), F.col("t").alias("t2"), "fp")
+def _of_sets(rows: DataFrame, sets: DataFrame, value: str) -> DataFrame:
+    """(fp, value) of the representatives in `sets` (d, t, fp); these are broadcast only when they are few."""
+    side = sets.select(F.col("d").alias("d2"), F.col("t").alias("t2"), F.col("fp").alias("fp2"))
     side = F.broadcast(side) if sets.count() * 40 <= BROADCAST_BYTES else side
-    return keyed.join(side, keyed["d"].eqNullSafe(side["d2"]) & (keyed["t"] == side["t2"])).select("fp", "text")
+    rows = rows.select("d", "t", value)
+    return rows.join(side, rows["d"].eqNullSafe(side["d2"]) & (rows["t"] == side["t2"])).select(F.col("fp2").alias("fp"), value)
 
 
-def _prefixes(texts: DataFrame, share: int) -> DataFrame:
-    """(sig, fp, more): each shingle of the extended prefixes once per batch, with the sets that have it."""
+def _shared(packed: DataFrame, width: int) -> DataFrame:
+    """(sig, total, fp) from (fp, hashes of `width` bytes): the hashes that occur more than once. Each is one row a batch."""
 
     def run(batches):
         for batch in batches:
-            fps, sigs, sizes = batch.column(0).to_numpy(), [], []
-            for found in shingle_sets(batch.column(1).to_pylist()):
-                take = prefix_size(len(found), share) if len(found) else 0
-                sigs.append(found[:take] >> np.uint64(16))
-                sizes.append(take)
-            sig = np.concatenate([np.zeros(0, np.uint64), *sigs]).astype(np.int64)
+            fps, values = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            sizes = np.array([len(v) // width for v in values], np.int64)
+            wide = np.zeros((int(sizes.sum()), 8), np.uint8)
+            wide[:, :width] = np.frombuffer(b"".join(values), np.uint8).reshape(-1, width)
+            sig = wide.reshape(-1).view("<i8")
             who = np.repeat(fps, sizes)
             order = np.argsort(sig, kind="stable")
             sig, who = sig[order], who[order]
@@ -157,17 +166,24 @@ def _prefixes(texts: DataFrame, share: int) -> DataFrame:
             counts = np.diff(np.append(heads, len(sig)))
             for a in range(0, len(heads), 1 << 16):
                 h, c = heads[a : a + (1 << 16)], counts[a : a + (1 << 16)]
-                more = [who[i + 1 : i + k] if k > 1 else None for i, k in zip(h.tolist(), c.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[h]), pa.array(who[h]), pa.array(more, pa.list_(pa.int64()))], names=["sig", "fp", "more"]
-                )
-
-    return texts.mapInArrow(run, "sig long, fp long, more array<long>")
+                # the others of each hash, as one flat array with offsets; none where it is alone
+                inner = np.ones(int(c.sum()), bool)
+                inner[h - h[0]] = False
+                ends = np.append(0, np.cumsum(c - 1)).astype(np.int32)
+                others = who[h[0] : h[0] + len(inner)][inner]
+                more = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(c == 1, False)), pa.array(others))
+                yield pa.RecordBatch.from_arrays([pa.array(sig[h]), pa.array(who[h]), more], names=["sig", "fp", "more"])
+
+    found = packed.mapInArrow(run, "sig long, fp long, more array<long>")
+    total = F.sum(1 + F.coalesce(F.size(F.col("more")), F.lit(0))).over(Window.partitionBy("sig"))
+    more = F.coalesce("more", F.array().cast("array<bigint>"))
+    counted = found.withColumn("more", more).withColumn("total", total).filter("total > 1")
+    return counted.select("sig", "total", F.explode(F.concat(F.array("fp"), "more")).alias("fp"))
 
 
 def set_signatures(n: int, counts: np.ndarray, sigs: np.ndarray, share: int = SHARE, frequent: int = FREQUENT) -> np.ndarray:
-    """Signatures of a set of n shingles from the shared part of its prefix, or none if it can't have a partner."""
-    d, r = len(sigs), required(n, share)
+    """Signatures of a set of n shingles from those that other sets have, or none if it can't have a partner."""
+    d, r = len(sigs), least_shared(n, share)
     if d < r:
         return np.zeros(0, np.uint64)
     order = np.lexsort((sigs, counts))
@@ -218,16 +234,23 @@ def _signatures(shared: DataFrame, share: int, frequent: int) -> DataFrame:
     return shared.mapInArrow(run, "fp long, n long, rank double, sig long")
 
 
+def parity_bits(found: np.ndarray) -> bytes:
+    """For each of BITS classes of hashes whether the set has an odd number of them. Bitmaps differ in no more bits than their sets in
+    elements, so those that differ in more can't link."""
+    return np.packbits(np.bincount((found & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+
+
 def _members(texts: DataFrame) -> DataFrame:
-    """(fp, members): the shingle hashes of each set, packed."""
+    """(fp, members, bits): the shingle hashes of each set, packed, and their parities."""
 
     def run(batches):
         for batch in batches:
             fps = batch.column(0)
             for i, found in enumerate(shingle_sets(batch.column(1).to_pylist())):
-                yield pa.RecordBatch.from_arrays([fps.slice(i, 1), pa.array([found.astype("<u8").tobytes()], pa.binary())], names=["fp", "members"])
+                packed = (pa.array([x], pa.binary()) for x in (found.astype("<u8").tobytes(), parity_bits(found)))
+                yield pa.RecordBatch.from_arrays([fps.slice(i, 1), *packed], names=["fp", "members", "bits"])
 
-    return texts.mapInArrow(run, "fp long, members binary").dropDuplicates(["fp"])
+    return texts.mapInArrow(run, "fp long, members binary, bits binary").dropDuplicates(["fp"])
 
 
 def _verified(pairs: DataFrame, members: DataFrame, share: int) -> DataFrame:
@@ -254,23 +277,35 @@ def _sizes_fit(a: str, b: str, share: int):
     return (100 * F.col(a) >= share * F.col(b)) & (100 * F.col(b) >= share * F.col(a))
 
 
-def _open_pairs(rows: DataFrame, share: int, block: int) -> DataFrame:
-    """Distinct pairs (a, b) of different components that share a signature; `rows` are (sig, fp, n, label)."""
+def _open_pairs(rows: DataFrame, members: DataFrame, share: int, block: int) -> DataFrame:
+    """Distinct pairs (a, b) of different components that share a signature and whose parities are near enough to link; `rows` are
+    (sig, fp, n, label)."""
     sizes = rows.groupBy("sig").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     dealt = rows.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    lists = dealt.groupBy("sig", "block").agg(F.collect_list(F.struct("fp", "n", "label")).alias("m"))
+    dealt = dealt.join(members.select("fp", "bits"), "fp")
+    lists = dealt.groupBy("sig", "block").agg(F.collect_list(F.struct("fp", "n", "label", "bits")).alias("m"))
     right = lists.select("sig", F.col("block").alias("block2"), F.col("m").alias("m2"))
     met = lists.join(right, "sig").filter("block <= block2").select("m", "m2")
 
+    def parts(column):
+        """Offsets and the fields of all members of the lists of a column."""
+        flat, ends = column.flatten(), column.offsets.to_numpy()
+        bits = np.frombuffer(b"".join(flat.field("bits").to_pylist()), np.uint64).reshape(len(flat), -1)
+        return ends - ends[0], bits, *(flat.field(k).to_numpy() for k in ("fp", "n", "label"))
+
     def run(batches):
         for batch in batches:
-            for m, m2 in zip(*(c.to_pylist() for c in batch.columns)):
-                (fa, na, la), (fb, nb, lb) = (tuple(np.array([x[k] for x in s], np.int64) for k in ("fp", "n", "label")) for s in (m, m2))
+            (ends, bits, *x), (ends2, bits2, *y) = parts(batch.column(0)), parts(batch.column(1))
+            for k in range(len(batch)):
+                s, s2 = slice(ends[k], ends[k + 1]), slice(ends2[k], ends2[k + 1])
+                (fa, na, la), (fb, nb, lb) = (v[s] for v in x), (v[s2] for v in y)
                 fits = (la[:, None] != lb) & (100 * na[:, None] >= share * nb) & (100 * nb >= share * na[:, None])
                 i, j = np.nonzero(fits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(fa[i], fb[j])), pa.array(np.maximum(fa[i], fb[j]))], names=["a", "b"]
-                )
+                apart = np.bitwise_count(bits[s][i] ^ bits2[s2][j]).sum(axis=1, dtype=np.int64)
+                near = (100 + share) * apart <= (100 - share) * (na[i] + nb[j])  # the bound on elements that only one set has
+                low, high = np.minimum(fa[i], fb[j])[near], np.maximum(fa[i], fb[j])[near]
+                pairs = np.unique(np.stack([low, high]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     return met.mapInArrow(run, "a long, b long").distinct()
 
@@ -280,20 +315,17 @@ def linked_sets(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows (d, n, fp) of all documents, and components (node, component) of the fingerprints that have links."""
     keyed = _keyed(docs, id_col, text_col)
-    table = cut_lineage(_sets_table(keyed))
-    sets = cut_lineage(
-        table.filter("n > 0").groupBy("fp").agg(F.min(F.struct("d", "t")).alias("r"), F.max("n").alias("n")).select("fp", "n", "r.d", "r.t")
-    )
-    total = F.sum(1 + F.coalesce(F.size(F.col("more")), F.lit(0))).over(Window.partitionBy("sig"))
-    more = F.coalesce("more", F.array().cast("array<bigint>"))
-    counted = _prefixes(_texts_of(keyed, sets), share).withColumn("more", more).withColumn("total", total).filter("total > 1")
-    shared = counted.select("sig", "total", F.explode(F.concat(F.array("fp"), "more")).alias("fp"))
-    lists = shared.groupBy("fp").agg(F.collect_set(F.struct("total", "sig")).alias("s"))  # bounded by the set's prefix
-    signed = cut_lineage(_signatures(lists.join(sets.select("fp", "n"), "fp").select("fp", "n", "s"), share, frequent))
+    table = cut_lineage(_sets_table(keyed, share))
+    sets = table.filter("n > 0").groupBy("fp").agg(F.min(F.struct("d", "t")).alias("r"), F.max("n").alias("n"), F.max("need").alias("need"))
+    sets = cut_lineage(sets.select("fp", "n", "need", "r.d", "r.t"))
+    # a row repeated with its id counts twice here, which keeps only more
+    held = _shared(_of_sets(table, sets, "prefix"), 6).groupBy("fp").agg(F.count("*").alias("held"))
+    chosen = cut_lineage(sets.join(held, "fp").filter("held >= need").select("fp", "n", "d", "t"))
+    members = cut_lineage(_members(_of_sets(keyed, chosen, "text")))
+    lists = _shared(members, 8).groupBy("fp").agg(F.collect_list(F.struct("total", "sig")).alias("s"))  # bounded by the set
+    signed = cut_lineage(_signatures(lists.join(chosen.select("fp", "n"), "fp").select("fp", "n", "s"), share, frequent))
     hubs = signed.groupBy("sig").agg(F.count("*").alias("k"), F.min(F.struct("rank", "fp", "n")).alias("hub")).filter("k > 1")
     signed = cut_lineage(signed.join(hubs, "sig").select("fp", "n", "sig", "hub"))
-    chosen = sets.join(signed.select("fp").distinct(), "fp", "left_semi")
-    members = cut_lineage(_members(_texts_of(keyed, cut_lineage(chosen))))
     star = signed.filter((F.col("fp") != F.col("hub.fp")) & _sizes_fit("n", "hub.n", share))
     star = star.groupBy("fp", F.col("hub.fp").alias("b")).count().groupBy("fp").agg(F.max(F.struct("count", "b")).alias("best"))
     links = cut_lineage(_verified(star.select(F.col("fp").alias("a"), F.col("best.b").alias("b")), members, share))
@@ -302,7 +334,7 @@ def linked_sets(
     labelled = cut_lineage(joined.select("sig", "fp", "n", F.coalesce("component", "fp").alias("label")))
     mixed = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
     rest = cut_lineage(labelled.join(mixed, "sig", "left_semi"))
-    more_links = cut_lineage(_verified(cut_lineage(_open_pairs(rest, share, block)), members, share))
+    more_links = cut_lineage(_verified(cut_lineage(_open_pairs(rest, members, share, block)), members, share))
     if more_links.head(1):
         labels = connected_components(links.unionByName(more_links))
     return table, labels
