@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +43,30 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[str]:
     """The texts of a batch one by one; null is the empty text."""
     for value in batch.column(column):
         yield value.as_py() or ""
+
+
+def byte_slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows whose texts have about `limit` bytes; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def utf8_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All texts of a column as one array of bytes, and the bounds of each; null is the empty text."""
+    binary = pc.fill_null(column.cast(pa.binary()).cast(pa.large_binary()), b"")
+    _, offsets, data = binary.buffers()
+    if not len(binary) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(binary) + 1, np.int64)
+    bounds = np.frombuffer(offsets, np.int64)[binary.offset : binary.offset + len(binary) + 1]
+    return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def strings_of(raw: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The reverse of `utf8_of`."""
+    buffers = [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(raw))]
+    return pa.StringArray.from_buffers(len(bounds) - 1, *buffers[1:])

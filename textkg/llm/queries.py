@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkg.llm import ann, bpe, chat, ctw, langid, ngram_join, packing, quality, suffix_dedup, toxicity
+from textkg.llm import ann, bpe, chat, ctw, fim, langid, ngram_join, packing, quality, suffix_dedup, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -87,6 +87,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op11_fill_in_middle", fim.DIGEST_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    restored = fim.restore_texts(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside the package and imports this subpackage itself
