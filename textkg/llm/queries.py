@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkg.llm import ann, bpe, chat, ctw, fim, langid, ngram_join, packing, quality, suffix_dedup, toxicity
+from textkg.llm import ann, bpe, chat, ctw, divergence, fim, langid, ngram_join, packing, quality, suffix_dedup, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -94,6 +94,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+@query("op12_source_divergence", divergence.AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside the package and imports this subpackage itself
