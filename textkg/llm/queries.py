@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkg.llm import ann, bpe, chat, ctw, divergence, fim, langid, ngram_join, packing, quality, suffix_dedup, toxicity
+from textkg.llm import ann, bpe, chat, ctw, divergence, fim, langid, ngram_join, packing, quality, spotsigs, suffix_dedup, toxicity
 from textkg.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -99,6 +99,19 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
 
 
+@query("op13_spot_signatures")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = spotsigs.with_edited(spotsigs.next_documents(table(spark, sf_dir, "documents"))).withColumns(
+        {"n_chars": F.length("text").cast("bigint"), "edited_sha256": F.sha2(F.col("edited").cast("binary"), 256)}
+    )
+    return spotsigs.fingerprint_texts(
+        edited,
+        texts={"text": "fingerprint", "edited": "edited_fingerprint", "next_text": ""},
+        keep=["doc_id", "n_chars", "edited_sha256"],
+        pairs={"near_edited": ("text", "edited"), "near_next": ("text", "next_text")},
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside the package and imports this subpackage itself
