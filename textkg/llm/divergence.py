@@ -35,12 +35,12 @@ SCALE = 1_000_000_000
 TOP_TERMS = 200
 BUCKET_TERMS = 1 << 16
 BUCKET_BYTES = 4 << 20
-SHARE_ENTRIES = 1 << 21
+SHARE_ENTRIES = 1 << 23
 BLOCK_TERMS = 1 << 13
 TILE_SOURCES = 256
 
 # Texts read between two emissions of counts.
-_FLUSH_BYTES = 16 << 20
+_FLUSH_BYTES = 32 << 20
 _STREAM_ROWS = 1 << 15
 _ROW_BYTES = 1 << 20
 
@@ -130,39 +130,36 @@ class Transducer:
         return out
 
 
-def _partial_counts(names: list[str], per_document: bool):
-    """Count the terms of texts per group of the first columns and emit (group columns, term, n), often enough to bound the memory."""
+def _counted_parts(
+    batches: Iterable[pa.RecordBatch], n_groups: int, per_document: bool
+) -> Iterator[tuple[tuple, list[bytes], np.ndarray, np.ndarray]]:
+    """(group, terms, their lengths, counts) of the texts in the column after the group columns, often enough to bound the memory."""
 
-    def emit(counts: dict[tuple, Counter]) -> Iterator[pa.RecordBatch]:
+    def parts(counts: dict[tuple, Counter]) -> Iterator[tuple[tuple, list[bytes], np.ndarray, np.ndarray]]:
         for group, found in counts.items():
-            terms, numbers = list(found.keys()), list(found.values())
+            terms, numbers = list(found.keys()), np.fromiter(found.values(), np.int64, len(found))
+            lengths = np.fromiter(map(len, terms), np.int64, len(terms))
+            ends = np.cumsum(lengths)
             begin = 0
             while begin < len(terms):
-                end, size = begin, 0
-                while end < len(terms) and end - begin < _STREAM_ROWS and size < _ROW_BYTES:
-                    size += len(terms[end])
-                    end += 1
-                columns = [pa.array([g] * (end - begin), pa.string()) for g in group]
-                columns += [pa.array(terms[begin:end], pa.binary()), pa.array(numbers[begin:end], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                full = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _ROW_BYTES))
+                end = min(max(full, begin + 1), begin + _STREAM_ROWS, len(terms))
+                yield group, terms[begin:end], lengths[begin:end], numbers[begin:end]
                 begin = end
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple, Counter] = {}
-        seen = 0
-        for batch in batches:
-            groups = zip(*[batch.column(i).to_pylist() for i in range(len(names) - 2)])
-            for group, value in zip(groups, batch.column(len(names) - 2)):
-                text = value.as_py()
-                found = terms_of(text)
-                counts.setdefault(group, Counter()).update(set(found) if per_document else found)
-                seen += len(text) + 64
-                if seen >= _FLUSH_BYTES:
-                    yield from emit(counts)
-                    counts, seen = {}, 0
-        yield from emit(counts)
-
-    return run
+    counts: dict[tuple, Counter] = {}
+    seen = 0
+    for batch in batches:
+        groups = zip(*[batch.column(i).to_pylist() for i in range(n_groups)])
+        for group, value in zip(groups, batch.column(n_groups)):
+            text = value.as_py()
+            found = terms_of(text)
+            counts.setdefault(group, Counter()).update(set(found) if per_document else found)
+            seen += len(text) + 64
+            if seen >= _FLUSH_BYTES:
+                yield from parts(counts)
+                counts, seen = {}, 0
+    yield from parts(counts)
 
 
 def _plain(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -170,37 +167,42 @@ def _plain(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> Da
     return docs.select(*[c.alias(n) for c, n in zip(filled, ("lang", "source", "text"))])
 
 
+def _document_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (lang,), terms, _, numbers in _counted_parts(batches, 1, per_document=True):
+        columns = [pa.array([lang] * len(terms), pa.string()), pa.array(terms, pa.binary()), pa.array(numbers)]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "term", "n"])
+
+
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term, ordinal): the terms of at least `min_docs` documents of a language; ordinals rise with (lang, term bytes)."""
-    run = _partial_counts(["lang", "term", "n"], per_document=True)
-    counted = docs.select("lang", "text").mapInArrow(run, "lang string, term binary, n long")
+    """(lang, term, n_docs, ordinal): the terms of at least `min_docs` documents of a language; ordinals rise with (lang, term bytes)."""
+    counted = docs.select("lang", "text").mapInArrow(_document_counts, "lang string, term binary, n long")
     kept = counted.groupBy("lang", "term").agg(F.sum("n").alias("n_docs")).where(F.col("n_docs") >= min_docs)
     return with_ordinal(kept, ["lang", "term"])
 
 
 def _streams(buckets: int, shares: int):
     """Counted terms of texts as rows (lang, source, bucket, share, terms, lengths, n), packed per bucket."""
-    count = _partial_counts(["lang", "source", "term", "n"], per_document=False)
     names = ["lang", "source", "bucket", "share", "terms", "lengths", "n"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part in enumerate(count(batches)):
-            terms, n = part.column(2).to_pylist(), part.column(3).to_numpy()
-            hashes = np.fromiter((zlib.crc32(t) for t in terms), np.int64, len(terms))
-            bucket = hashes % buckets
-            # one share for all terms of an emission, another one for the next
+        for number, ((lang, source), terms, lengths, n) in enumerate(_counted_parts(batches, 2, per_document=False)):
+            hashes = np.fromiter(map(zlib.crc32, terms), np.int64, len(terms))
+            order = np.argsort(hashes % buckets, kind="stable")
+            bucket = (hashes % buckets)[order]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(terms)]])
+            sorted_terms = [terms[i] for i in order.tolist()]
+            rows = len(cuts) - 1
+            # one share for all terms of a part, another one for the next
             share = (int(hashes[0]) + number) % shares
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            groups = np.split(order, cuts)
+            offsets = pa.array(cuts, pa.int32())
             columns = [
-                pa.array([part.column(0)[0].as_py()] * len(groups), pa.string()),
-                pa.array([part.column(1)[0].as_py()] * len(groups), pa.string()),
-                pa.array([int(bucket[g[0]]) for g in groups], pa.int32()),
-                pa.array([share] * len(groups), pa.int32()),
-                pa.array([b"".join([terms[i] for i in g]) for g in groups], pa.binary()),
-                pa.array([[len(terms[i]) for i in g] for g in groups], pa.list_(pa.int32())),
-                pa.array([n[g].tolist() for g in groups], pa.list_(pa.int64())),
+                pa.array([lang] * rows, pa.string()),
+                pa.array([source] * rows, pa.string()),
+                pa.array(bucket[cuts[:-1]], pa.int32()),
+                pa.array([share] * rows, pa.int32()),
+                pa.array([b"".join(sorted_terms[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                pa.ListArray.from_arrays(offsets, pa.array(lengths[order], pa.int32())),
+                pa.ListArray.from_arrays(offsets, pa.array(n[order], pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -262,7 +264,10 @@ def _probability(count: Column, total: Column, terms: Column) -> Column:
     above = F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
     below = (total + terms).cast("decimal(20,0)")
     # the remainder is taken off first, so the division is exact
-    return ((above - above % below) / below).cast("bigint") + 1
+    wide = ((above - above % below) / below).cast("bigint")
+    # the product of most counts fits a machine word
+    narrow = F.call_function("div", F.lit(SCALE).cast("bigint") * (count + 1), total + terms)
+    return F.when(count < (1 << 62) // SCALE, narrow).otherwise(wide) + 1
 
 
 def _tile_sums(block_terms: int, tile_sources: int):
