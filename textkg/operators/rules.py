@@ -119,15 +119,85 @@ def fixpoint(kg: DataFrame, rules: Sequence[Rule], registry: Mapping[str, Defini
             return facts
         rounds.append(fresh)
         known = reduce(DataFrame.unionByName, rounds).select("s", "p", "o")
-        latest = fresh.select("s", "p", "o")
-        derived = reduce(
-            DataFrame.unionByName,
-            [
-                derive(known, rule, registry, [latest if i == at else known for i in range(len(rule.body))])
-                for rule in rules
-                for at in range(len(rule.body))
-            ],
+        derived = _derive_again(known, fresh.select("s", "p", "o"), rules, registry)
+
+
+def _derive_again(known: DataFrame, latest: DataFrame, rules: Sequence[Rule], registry: Mapping[str, Definition]) -> DataFrame:
+    """What the rules derive from known facts with at least one of the latest ones."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            derive(known, rule, registry, [latest if i == at else known for i in range(len(rule.body))])
+            for rule in rules
+            for at in range(len(rule.body))
+        ],
+    )
+
+
+def proofs(kg: DataFrame, rules: Sequence[Rule], registry: Mapping[str, Definition] = BUILTINS) -> DataFrame:
+    """(s, p, o, round, rule, premises): the facts and all they entail, each with one derivation of least depth.
+
+    `round` is that depth, 0 for a given fact, whose rule and premises are null. The premises of a fact have lesser rounds, so derivations
+    have no cycle. Among derivations of one round the first by rule name, then by premises, is kept.
+    """
+    given = kg.select("s", "p", "o").distinct()
+    derived = derive_all(given, rules, registry)
+    kinds = {f.name: f.dataType for f in derived.schema.fields}
+    rounds = [
+        cut_lineage(
+            given.select(
+                "*", F.lit(0).alias("round"), F.lit(None).cast(kinds["rule"]).alias("rule"), F.lit(None).cast(kinds["premises"]).alias("premises")
+            )
+        )
+    ]
+    while True:
+        facts = reduce(DataFrame.unionByName, rounds)
+        chosen = derived.groupBy("s", "p", "o").agg(F.min(F.struct("rule", "premises")).alias("by"))
+        fresh = cut_lineage(
+            chosen.join(facts.select("s", "p", "o"), ["s", "p", "o"], "left_anti").select(
+                "s", "p", "o", F.lit(len(rounds)).alias("round"), "by.rule", "by.premises"
+            )
         )
+        if fresh.isEmpty():
+            return facts
+        rounds.append(fresh)
+        known = reduce(DataFrame.unionByName, rounds).select("s", "p", "o")
+        derived = _derive_again(known, fresh.select("s", "p", "o"), rules, registry)
+
+
+def proof_trees(goals: DataFrame, derivations: DataFrame) -> DataFrame:
+    """(goal_s, goal_p, goal_o, path, s, p, o, round, rule): the nodes of the proof tree of every goal(s, p, o).
+
+    `path` is empty at the goal and adds the place of a premise per level, so sorting by it writes a tree from top to bottom. Leaves are given
+    facts (round 0). A goal that is not entailed is one row without round. The trees are unrolled level by level from the top.
+    """
+    known = cut_lineage(derivations)
+    level = goals.distinct().select(
+        *[F.col(c).alias(f"goal_{c}") for c in ("s", "p", "o")], F.array().cast("array<int>").alias("path"), "s", "p", "o"
+    )
+    levels = []
+    while True:
+        met = cut_lineage(level.join(known, ["s", "p", "o"], "left"))
+        if met.isEmpty():
+            break
+        levels.append(met)
+        below = met.where("premises IS NOT NULL").select(
+            "goal_s", "goal_p", "goal_o", "path", F.posexplode("premises").alias("place", "premise")
+        )
+        level = below.select(
+            "goal_s", "goal_p", "goal_o", F.concat("path", F.array(F.col("place") + 1)).alias("path"), "premise.s", "premise.p", "premise.o"
+        )
+    rows = reduce(DataFrame.unionByName, levels) if levels else level.join(known, ["s", "p", "o"])
+    return rows.select("goal_s", "goal_p", "goal_o", "path", "s", "p", "o", "round", "rule")
+
+
+def proof_text(trees: DataFrame) -> DataFrame:
+    """(goal_s, goal_p, goal_o, lines): the trees written with one fact a line, indented by depth; a derived fact names its rule."""
+    fact = F.concat_ws(" ", "s", "p", "o")
+    said = F.when(F.col("rule").isNotNull(), F.concat(fact, F.lit(" ["), "rule", F.lit("]"))).otherwise(fact)
+    line = F.struct("path", F.concat(F.repeat(F.lit("    "), F.size("path")), said).alias("line"))
+    written = F.transform(F.sort_array(F.collect_list(line)), lambda x: x["line"])
+    return trees.groupBy("goal_s", "goal_p", "goal_o").agg(F.array_join(written, "\n").alias("lines"))
 
 
 def rule_list(rules: Sequence[Rule], derived: DataFrame) -> DataFrame:

@@ -11,11 +11,12 @@ from textkg.operators import graph as gr
 from textkg.operators import lexicon as lx
 from textkg.operators import questions as qn
 from textkg.operators import reasoning as rs
-from textkg.operators.rules import Rule, derive_all, fixpoint, rule_list
+from textkg.operators import phrases as ph
+from textkg.operators.rules import Rule, derive_all, fixpoint, proof_text, proof_trees, proofs, rule_list
 from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
-from textkg.session import broadcast_if_small
+from textkg.session import broadcast_if_small, cut_lineage
 
 _KG = """kg AS (SELECT 'customer:' || c_custkey AS s, 'inNation' AS p, 'nation:' || c_nationkey AS o FROM customer
   UNION ALL SELECT 'supplier:' || s_suppkey, 'inNation', 'nation:' || s_nationkey FROM supplier
@@ -325,6 +326,45 @@ def rule_class(spark, sf):
     return fixpoint(v.kg(spark, sf).unionByName(typed), [RULES[0], builder]).where("round > 0")
 
 
+CHAINED = (*RULES, Rule("from_region", (("?q", "fromNation", "?n"), ("?n", "inRegion", "?r")), ("?q", "fromRegion", "?r")))
+
+# Three levels: an order's region follows from its nation, which follows from its customer's.
+_PROOF = f"""{_KG}, g AS (SELECT a.s AS q, a.o AS c, b.o AS n, d.o AS r FROM kg a JOIN kg b ON a.o = b.s JOIN kg d ON b.o = d.s
+  WHERE a.p = 'placedBy' AND b.p = 'inNation' AND d.p = 'inRegion'),
+tree AS (
+  SELECT q AS goal, r AS goal_o, '' AS path, q AS s, 'fromRegion' AS p, r AS o, 2 AS round, 'from_region' AS rule FROM g
+  UNION ALL SELECT q, r, '1', q, 'fromNation', n, 1, 'origin' FROM g
+  UNION ALL SELECT q, r, '1.1', q, 'placedBy', c, 0, NULL FROM g
+  UNION ALL SELECT q, r, '1.2', c, 'inNation', n, 0, NULL FROM g
+  UNION ALL SELECT q, r, '2', n, 'inRegion', r, 0, NULL FROM g)"""
+
+
+def _proof_trees(spark, sf):
+    known = cut_lineage(proofs(v.kg(spark, sf), CHAINED))
+    return proof_trees(known.where("p = 'fromRegion'").select("s", "p", "o"), known)
+
+
+@query(
+    "explain_tree",
+    f"WITH {_PROOF} SELECT goal, goal_o, path, s, p, o, round, rule FROM tree",
+)
+def explain_tree(spark, sf):
+    return _proof_trees(spark, sf).select(
+        F.col("goal_s").alias("goal"), "goal_o", F.array_join(F.col("path").cast("array<string>"), ".").alias("path"),
+        "s", "p", "o", "round", "rule",
+    )
+
+
+@query(
+    "explain_text",
+    f"""WITH {_PROOF} SELECT goal, string_agg(repeat('    ', CASE path WHEN '' THEN 0 ELSE len(string_split(path, '.')) END)
+      || s || ' ' || p || ' ' || o || coalesce(' [' || rule || ']', ''), chr(10) ORDER BY path) AS lines
+    FROM tree GROUP BY goal""",
+)
+def explain_text(spark, sf):
+    return proof_text(_proof_trees(spark, sf)).select(F.col("goal_s").alias("goal"), "lines")
+
+
 # ---- reasoning patterns -------------------------------------------------------------------------------------------
 
 
@@ -565,3 +605,56 @@ def annotate_hierarchy(spark, sf):
     closure = cl.transitive_closure(v.lex_hyper(spark, sf), "child", "parent", max_depth=3)
     annotated = lx.annotate(_doc_terms(spark, sf), broadcast_if_small(v.lexicon(spark, sf)))
     return lx.annotate_ancestors(annotated, closure.withColumnRenamed("child", "word"), 3)
+
+
+# Windows of one to four words of the benchmark texts, a window's size following from its place.
+_PHRASES = f"""bt AS (SELECT {sq.TOK_OF.format('text')} AS w FROM benchmark),
+  bp AS (SELECT DISTINCT unnest(list_transform(range(len(w)), lambda i: w[i + 1:i + 1 + i % 4])) AS words FROM bt),
+  phr AS (SELECT array_to_string(words, ' ') AS term, len(words) AS n FROM bp)"""
+
+# All windows that are terms, the longest per place, then the chain of those that don't overlap.
+_ANNOTATED = f"""{sq.DOC_TOKENS}, {_PHRASES},
+  win AS (SELECT doc_id, i AS place, z AS n, array_to_string(words[i + 1:i + z], ' ') AS term
+    FROM dt, unnest(range(len(words))) u(i), range(1, 5) r(z) WHERE i + z <= len(words)),
+  hit AS (SELECT doc_id, place, max(win.n) AS n, arg_max(win.term, win.n) AS term FROM win JOIN phr USING (term) GROUP BY ALL),
+  nxt AS (SELECT a.*, b.place AS nplace FROM hit a ASOF LEFT JOIN hit b ON a.doc_id = b.doc_id AND a.place + a.n <= b.place),
+  chain AS (SELECT * FROM nxt WHERE (doc_id, place) IN (SELECT (doc_id, min(place)) FROM hit GROUP BY doc_id)
+    UNION ALL SELECT x.* FROM chain c JOIN nxt x ON x.doc_id = c.doc_id AND x.place = c.nplace)"""
+
+
+def _phrases(spark, sf):
+    """(words): distinct windows of the benchmark texts, of one to four words."""
+    words = v.table(spark, sf, "benchmark").select(tx.tokens(F.col("text")).alias("w"))
+    return words.select(
+        F.explode(F.transform("w", lambda x, i: F.slice("w", i + 1, i % 4 + 1))).alias("words")
+    ).distinct()
+
+
+def _annotated_phrases(spark, sf):
+    return ph.annotate_phrases(v.doc_tokens(spark, sf), _phrases(spark, sf))
+
+
+@query(
+    "annotate_phrases",
+    f"WITH RECURSIVE {_ANNOTATED} SELECT doc_id, CAST(place AS INTEGER) AS place, CAST(n AS INTEGER) AS length, term FROM chain",
+)
+def annotate_phrases(spark, sf):
+    return _annotated_phrases(spark, sf)
+
+
+@query(
+    "annotate_phrase_hierarchy",
+    f"""WITH RECURSIVE {_ANNOTATED}, {_LEX_UP}, cnt AS (SELECT doc_id, term, string_split(term, ' ')[-1] AS head, count(*) AS n
+      FROM chain GROUP BY ALL)
+    SELECT doc_id, term, head AS ancestor, 0 AS depth, n FROM cnt
+    UNION ALL SELECT doc_id, term, ancestor, depth::INTEGER, n FROM cnt JOIN up ON head = word WHERE depth <= 3""",
+)
+def annotate_phrase_hierarchy(spark, sf):
+    """A term's class is its last word; the classes above it follow up to three levels."""
+    closure = cl.transitive_closure(v.lex_hyper(spark, sf), "child", "parent", max_depth=3)
+    head = F.substring_index("term", " ", -1)
+    counts = _annotated_phrases(spark, sf).groupBy("doc_id", "term", head.alias("head")).agg(F.count("*").alias("n"))
+    counts = cut_lineage(counts)
+    own = counts.select("doc_id", "term", F.col("head").alias("ancestor"), F.lit(0).alias("depth"), "n")
+    above = counts.join(closure.withColumnRenamed("child", "head"), "head").select("doc_id", "term", "ancestor", "depth", "n")
+    return own.unionByName(above)
