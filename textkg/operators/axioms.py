@@ -46,6 +46,22 @@ def individual_axioms(individuals: DataFrame) -> DataFrame:
     )
 
 
+def _inverse_name() -> Column:
+    return F.when(
+        F.contains(F.col("kind"), F.lit("InvOf")), F.nullif(F.get(F.split("kind", ":"), F.lit(1)), F.lit(""))
+    )
+
+
+def property_declarations(object_properties: DataFrame, data_properties: DataFrame) -> DataFrame:
+    """A declaration of every named object property, of the inverses named with them, and of every data property."""
+    names = F.filter(F.array("property", _inverse_name()), lambda n: n.isNotNull() & (n != ""))
+    objects = object_properties.select(F.explode(names).alias("property")).distinct()
+    data = data_properties.where("property <> ''").select("property").distinct()
+    return _rows(objects, axiom("ObjectProperty", F.col("property"))).unionByName(
+        _rows(data, axiom("DataProperty", F.col("property")))
+    )
+
+
 def object_property_axioms(properties: DataFrame) -> DataFrame:
     """From properties(property, domain, range, kind): kind `Func` marks a functional property, `InvOf:p` an inverse.
 

@@ -5,12 +5,16 @@ Files go to fresh folders below the shared folder of the session.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from textkg.functions import offsets as off
 from textkg.functions import text as tx
 from textkg.operators import axioms as ax
 from textkg.operators import counts as ct
 from textkg.operators import ordinals as od
+from textkg.operators.intervals import interval_join
 from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
@@ -201,6 +205,116 @@ def src_annotation_json(spark, sf):
     return an.read_annotation_json(spark, path)
 
 
+# Words with one of these endings are the mentions of the stored annotation files.
+MENTION_ENDINGS = {"tion": "Process", "ment": "Result", "heit": "State", "eau": "Place", "ing": "Process"}
+_MENTION_WORD = f"({'|'.join(MENTION_ENDINGS)})$"
+
+
+def _mention_type(word):
+    out = F.lit(None).cast("string")
+    for ending, kind in MENTION_ENDINGS.items():
+        out = F.when(word.endswith(ending), kind).otherwise(out)
+    return out
+
+
+def _mention_tokens(text, start):
+    """Words of a text that are mentions, with their places in the document."""
+    return F.filter(off.located_tokens(text, start), lambda w: F.lower(w["text"]).rlike(_MENTION_WORD))
+
+
+def _type_sql(w: str) -> str:
+    out = "NULL"
+    for ending, kind in MENTION_ENDINGS.items():
+        out = f"CASE WHEN {w} LIKE '%{ending}' THEN '{kind}' ELSE {out} END"
+    return out
+
+
+def _places_sql(source: str) -> str:
+    """mt: the mentions of `source`(doc_id, passage_no, start, t), by the lengths of tokens and of what lies between them."""
+    sums = "coalesce(list_sum(list_transform({0}, lambda x: length(x))), 0)"
+    return rf"""pk AS (SELECT doc_id, passage_no, start, string_split_regex(t, '[\p{{L}}\p{{N}}]+') AS g,
+    regexp_extract_all(t, '[\p{{L}}\p{{N}}]+') AS w FROM {source}),
+  pw AS (SELECT doc_id, passage_no, unnest(list_transform(range(1, len(w) + 1), lambda i: struct_pack(w := w[i], a := CAST(start
+    + {sums.format('g[1:i]')} + {sums.format('w[1:i - 1]')} AS INTEGER)))) AS m FROM pk),
+  mt AS (SELECT doc_id, passage_no, m.w AS mention, m.a AS start, m.a + length(m.w) AS stop, {_type_sql('lower(m.w)')} AS type
+    FROM pw WHERE regexp_matches(lower(m.w), '{_MENTION_WORD}'))"""
+
+
+_PASSAGES = (
+    _LINES
+    + """, pa AS (SELECT doc_id, i - 1 AS passage_no, l[i] AS t,
+    coalesce(list_sum(list_transform(l[1:i - 1], lambda x: length(x) + 1)), 0) AS start
+  FROM ln, unnest(range(1, len(l) + 1)) u(i))"""
+)
+
+
+@query(
+    "src_bioc_mentions",
+    f"""WITH {_PASSAGES}, {_places_sql('pa')} SELECT doc_id::VARCHAR AS id, passage_no::INTEGER AS passage_no, type, start, stop,
+    mention, 'T' || start AS annotation_id, 'C' || length(mention) AS identifier FROM mt""",
+)
+def src_bioc_mentions(spark, sf):
+    path = scratch_path(spark, "bioc-mentions")
+    pair = lambda key, value: F.struct(F.lit(key).alias("_key"), value.alias("_VALUE"))
+
+    def annotation(w):
+        place = F.struct(w["start"].alias("_offset"), F.length(w["text"]).alias("_length"))
+        kinds = F.array(
+            pair("type", _mention_type(F.lower(w["text"]))), pair("identifier", F.concat(F.lit("C"), F.length(w["text"])))
+        )
+        return F.struct(
+            F.concat(F.lit("T"), w["start"]).alias("_id"), kinds.alias("infon"), F.array(place).alias("location"), w["text"].alias("text")
+        )
+
+    starts = off.running_sums(F.transform("l", lambda x: F.length(x) + 1))
+    passages = F.zip_with(
+        "l",
+        starts,
+        lambda x, at: F.struct(
+            F.array(pair("type", F.lit("line"))).alias("infon"),
+            at.alias("offset"),
+            x.alias("text"),
+            F.transform(_mention_tokens(x, at), annotation).alias("annotation"),
+        ),
+    )
+    docs = _doc_lines(spark, sf).select(F.col("doc_id").cast("string").alias("id"), passages.alias("passage"))
+    docs.write.format("xml").option("rowTag", "document").option("rootTag", "collection").save(path)
+    return an.read_bioc_mentions(spark, path)
+
+
+@query(
+    "sentence_mentions",
+    rf"""WITH txt AS (SELECT doc_id, 0 AS passage_no, 0 AS start, text AS t FROM documents WHERE text IS NOT NULL), {_places_sql('txt')},
+  sp AS (SELECT doc_id, string_split_regex(t, '[.!?]+\s+|\n+') AS p, regexp_extract_all(t, '[.!?]+\s+|\n+') AS h FROM txt),
+  su AS (SELECT doc_id, unnest(list_transform(range(1, len(p) + 1), lambda i: struct_pack(s := p[i], a := CAST(coalesce(list_sum(
+    list_transform(p[1:i - 1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) AS INTEGER)))) AS q
+    FROM sp),
+  sn AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY q.a) - 1 AS sent_no, q.a AS a, q.a + length(q.s) AS b FROM su
+    WHERE trim(q.s) <> '')
+  SELECT mt.doc_id::VARCHAR AS sourceid, CAST(sent_no AS INTEGER) AS sent_no, type, mt.start, mt.stop, mention
+  FROM mt JOIN sn ON mt.doc_id = sn.doc_id AND mt.start >= a AND mt.stop <= b""",
+)
+def sentence_mentions(spark, sf):
+    path = scratch_path(spark, "denotations")
+    text = F.col("text")
+    span = lambda w: F.struct(w["start"].alias("begin"), (w["start"] + F.length(w["text"])).alias("end"))
+    found = F.transform(
+        _mention_tokens(text, F.lit(0)),
+        lambda w, i: F.struct(
+            F.concat(F.lit("T"), i).alias("id"), span(w).alias("span"), _mention_type(F.lower(w["text"])).alias("obj")
+        ),
+    )
+    v.corpus(spark, sf).select(
+        F.lit("documents").alias("sourcedb"), F.col("doc_id").cast("string").alias("sourceid"), "text", found.alias("denotations")
+    ).write.json(path)
+    stored = an.read_annotation_json(spark, path)
+    sentences = stored.select("sourceid", F.posexplode(off.located_sentences(text)).alias("sent_no", "s")).select(
+        "sourceid", "sent_no", F.col("s.start").alias("r_start"), (F.col("s.start") + F.length("s.text")).alias("r_stop")
+    )
+    met = interval_join(an.read_denotations(spark, path), sentences, ["sourceid"], test="inside")
+    return met.select("sourceid", "sent_no", "type", "start", "stop", "mention")
+
+
 @query(
     "json_annotations",
     """WITH t AS (SELECT 'http://x/' || conv_id || '/' || turn AS class_id, role AS label, 'O' || conv_id AS ontology,
@@ -356,41 +470,97 @@ def src_ontology_csv(spark, sf):
     return of.read_ontology_file(spark, path, "Triplets")
 
 
-_OWL_KINDS = ("Declaration", "SubClassOf", "ClassAssertion", "ObjectPropertyAssertion", "DataPropertyAssertion")
-
-
 def _axioms_and_facts(spark, sf):
-    return v.axioms(spark, sf).unionByName(ax.fact_axioms(v.triplets(spark, sf), v.data_properties(spark, sf)))
+    """All axiom kinds: declarations, class tree, individuals, properties and facts."""
+    parts = (
+        ax.property_declarations(v.object_properties(spark, sf), v.data_properties(spark, sf)),
+        ax.object_property_axioms(v.object_properties(spark, sf)),
+        ax.data_property_axioms(v.data_properties(spark, sf)),
+        ax.fact_axioms(v.triplets(spark, sf), v.data_properties(spark, sf)),
+    )
+    return reduce(lambda a, b: a.unionByName(b), parts, v.axioms(spark, sf))
 
 
 _AXF = f"""{_TYPES}, {_TRIPLETS}, {_EDGES}, c AS (SELECT child AS class FROM ce UNION SELECT parent FROM ce),
-  ax AS (SELECT 'Declaration' AS kind, class AS s, NULL::VARCHAR AS p, NULL::VARCHAR AS o, NULL::VARCHAR AS lit_type FROM c
-    UNION ALL SELECT 'SubClassOf', child, NULL, parent, NULL FROM ce
-    UNION ALL SELECT 'ClassAssertion', ind, NULL, class, NULL FROM types
-    UNION ALL SELECT 'ObjectPropertyAssertion', subject, property, object, NULL FROM trp WHERE kind = 'Obj'
+  k AS (SELECT property, subject, upper(subject[1]) || split_part(subject, ':', 1)[2:] AS domain,
+    upper(object[1]) || split_part(object, ':', 1)[2:] AS rng, object FROM trp WHERE kind = 'Obj'),
+  op AS (SELECT property, domain, rng, max(n) AS n FROM (SELECT property, domain, rng, subject, count(DISTINCT object) AS n
+    FROM k GROUP BY ALL) GROUP BY ALL),
+  dt AS (SELECT property, domain, CASE datatype WHEN 'int' THEN 'integer' ELSE 'string' END AS lit FROM dp),
+  ax(kind, s, p, o, lit_type, annotation) AS (
+    SELECT 'Declaration', class, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, 'class ' || class FROM c
+    UNION ALL SELECT 'SubClassOf', child, NULL, parent, NULL, NULL FROM ce
+    UNION ALL SELECT 'NamedIndividual', ind, NULL, NULL, NULL, NULL FROM types
+    UNION ALL SELECT 'ClassAssertion', ind, NULL, class, NULL, NULL FROM types
+    UNION ALL (SELECT 'ObjectProperty', property, NULL, NULL, NULL, NULL FROM op
+      UNION SELECT 'ObjectProperty', 'placed', NULL, NULL, NULL, NULL FROM op WHERE property = 'placedBy')
+    UNION ALL (SELECT DISTINCT 'DataProperty', property, NULL, NULL, NULL, NULL FROM dt)
+    UNION ALL (SELECT 'ObjectPropertyDomain', property, NULL, domain, NULL, NULL FROM op
+      UNION SELECT 'ObjectPropertyRange', property, NULL, rng, NULL, NULL FROM op
+      UNION SELECT 'FunctionalObjectProperty', property, NULL, NULL, NULL, NULL FROM op WHERE n = 1 AND property <> 'placedBy'
+      UNION SELECT 'ObjectPropertyDomain', 'placed', NULL, rng, NULL, NULL FROM op WHERE property = 'placedBy'
+      UNION SELECT 'ObjectPropertyRange', 'placed', NULL, domain, NULL, NULL FROM op WHERE property = 'placedBy'
+      UNION SELECT 'InverseObjectProperties', property, NULL, 'placed', NULL, NULL FROM op WHERE property = 'placedBy')
+    UNION ALL (SELECT 'DataPropertyDomain', property, NULL, domain, NULL, NULL FROM dt
+      UNION SELECT 'DataPropertyRange', property, NULL, lit, lit, NULL FROM dt)
+    UNION ALL SELECT 'ObjectPropertyAssertion', subject, property, object, NULL, NULL FROM trp WHERE kind = 'Obj'
     UNION ALL SELECT 'DataPropertyAssertion', subject, property, object, CASE WHEN property IN
-      (SELECT property FROM dp WHERE datatype = 'int') THEN 'integer' ELSE 'string' END FROM trp WHERE kind = 'Data')"""
+      (SELECT property FROM dp WHERE datatype = 'int') THEN 'integer' ELSE 'string' END, NULL FROM trp WHERE kind = 'Data')"""
 
 
-@query("src_owl_xml", f"WITH {_AXF} SELECT kind, s, p, o, lit_type FROM ax")
+@query("src_owl_xml", f"WITH {_AXF} SELECT kind, s, p, o, lit_type, annotation FROM ax")
 def src_owl_xml(spark, sf):
     path = scratch_path(spark, "owl")
-    of.write_owl_xml(_axioms_and_facts(spark, sf), path, _OWL_KINDS)
-    # each kind has its own folder, so every scan reads only its files
-    from functools import reduce
+    of.write_owl_xml(_axioms_and_facts(spark, sf), path)
+    return of.read_owl_xml(spark, path)
+
 
-    parts = [of.read_owl_xml(spark, f"{path}/{kind}", [kind]) for kind in _OWL_KINDS]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+@query(
+    "src_ontology_files",
+    f"""WITH {_TYPES}, {_TRIPLETS}, {_EDGES}, c AS (SELECT child AS class FROM ce UNION SELECT parent FROM ce),
+  k AS (SELECT property, subject, upper(subject[1]) || split_part(subject, ':', 1)[2:] AS domain,
+    upper(object[1]) || split_part(object, ':', 1)[2:] AS rng, object FROM trp WHERE kind = 'Obj'),
+  op AS (SELECT property, domain, rng, max(n) AS n FROM (SELECT property, domain, rng, subject, count(DISTINCT object) AS n
+    FROM k GROUP BY ALL) GROUP BY ALL)
+  SELECT 'Classes' AS file, class AS a, NULL::VARCHAR AS b, NULL::VARCHAR AS c, NULL::VARCHAR AS d FROM c
+  UNION ALL SELECT 'SubClasses', parent, child, NULL, NULL FROM ce
+  UNION ALL SELECT 'ObjectProperties', property, domain, rng,
+    CASE WHEN property = 'placedBy' THEN 'InvOf:placed' WHEN n = 1 THEN 'Func' END FROM op
+  UNION ALL SELECT 'DataProperties', property, domain, datatype, NULL FROM dp
+  UNION ALL SELECT 'Individuals', class, ind, NULL, NULL FROM types
+  UNION ALL SELECT 'Triplets', subject, property, object, kind FROM trp""",
+)
+def src_ontology_files(spark, sf):
+    path = scratch_path(spark, "ontology")
+    edges = v.class_edges(spark, sf)
+    tables = {
+        "Classes": edges.select(F.explode(F.array("child", "parent")).alias("class")).distinct(),
+        "SubClasses": edges.select("parent", "child"),
+        "ObjectProperties": v.object_properties(spark, sf).select("property", "domain", "range", "kind"),
+        "DataProperties": v.data_properties(spark, sf).select("property", "domain", "datatype"),
+        "Individuals": v.types(spark, sf).select("class", F.col("ind").alias("individual")),
+        "Triplets": v.triplets(spark, sf),
+    }
+    read = []
+    for name, rows in tables.items():
+        tf.write_rows(rows, f"{path}/{name}", quoted=True)
+        back = of.read_ontology_file(spark, f"{path}/{name}", name)
+        fields = [F.col(c) for c in back.columns] + [F.lit(None).cast("string")] * (4 - len(back.columns))
+        read.append(back.select(F.lit(name).alias("file"), *[f.alias(n) for f, n in zip(fields, "abcd")]))
+    return reduce(lambda a, b: a.unionByName(b), read)
 
 
 @query(
     "sink_owl_functional",
-    f"""WITH {_AXF} SELECT CASE kind WHEN 'Declaration' THEN 'Declaration(Class(:' || s || '))'
-      WHEN 'SubClassOf' THEN 'SubClassOf(:' || s || ' :' || o || ')'
-      WHEN 'ClassAssertion' THEN 'ClassAssertion(:' || o || ' :' || s || ')'
-      WHEN 'ObjectPropertyAssertion' THEN 'ObjectPropertyAssertion(:' || p || ' :' || s || ' :' || o || ')'
-      ELSE 'DataPropertyAssertion(:' || p || ' :' || s || ' "' || o || '"^^xsd:' || lit_type || ')' END AS line FROM ax
-    UNION ALL SELECT 'Declaration(NamedIndividual(:' || ind || '))' FROM types""",
+    f"""WITH {_AXF} SELECT CASE
+      WHEN kind = 'Declaration' THEN 'Declaration(Annotation(rdfs:comment "' || annotation || '") Class(:' || s || '))'
+      WHEN kind IN ('NamedIndividual', 'ObjectProperty', 'DataProperty') THEN 'Declaration(' || kind || '(:' || s || '))'
+      WHEN kind = 'ClassAssertion' THEN 'ClassAssertion(:' || o || ' :' || s || ')'
+      WHEN kind = 'ObjectPropertyAssertion' THEN 'ObjectPropertyAssertion(:' || p || ' :' || s || ' :' || o || ')'
+      WHEN kind = 'DataPropertyAssertion' THEN
+        'DataPropertyAssertion(:' || p || ' :' || s || ' "' || o || '"^^xsd:' || lit_type || ')'
+      WHEN kind = 'DataPropertyRange' THEN 'DataPropertyRange(:' || s || ' xsd:' || o || ')'
+      ELSE kind || '(:' || s || coalesce(' :' || o, '') || ')' END AS line FROM ax""",
 )
 def sink_owl_functional(spark, sf):
     path = scratch_path(spark, "functional")

@@ -12,6 +12,16 @@ BIOC_SCHEMA = (
 )
 ANNOTATION_SCHEMA = "sourcedb string, sourceid string, text string"
 
+# The element and field names of the two annotation formats.
+_INFONS = "array<struct<_key:string,_VALUE:string>>"
+BIOC_MENTION_SCHEMA = (
+    f"id string, passage array<struct<offset:int,annotation:array<struct<_id:string,infon:{_INFONS},"
+    "location:array<struct<_offset:int,_length:int>>,text:string>>>>"
+)
+DENOTATION_SCHEMA = (
+    "sourcedb string, sourceid string, text string, denotations array<struct<id:string,span:struct<begin:int,end:int>,obj:string>>"
+)
+
 _CLASS = "struct<`@id`:string,prefLabel:string,links:struct<self:string,ontology:string>>"
 PAYLOAD_SCHEMA = (
     f"annotations array<struct<annotatedClass:{_CLASS},"
@@ -53,6 +63,42 @@ def read_bioc(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("id", "passage_no", kind.alias("kind"), "p.offset", "p.text")
 
 
+def _infon(infons: str, key: str) -> Column:
+    return F.get(F.filter(infons, lambda i: i["_key"] == key), F.lit(0))["_VALUE"]
+
+
+def read_bioc_mentions(spark: SparkSession, path: str) -> DataFrame:
+    """(id, passage_no, annotation_id, type, identifier, start, stop, mention), one row per annotation and location.
+
+    Positions count from the begin of the document, as `offset` of a location does; an annotation in several pieces has a row for each.
+    """
+    docs = spark.read.format("xml").option("rowTag", "document").schema(BIOC_MENTION_SCHEMA).load(path)
+    found = docs.select("id", F.posexplode("passage").alias("passage_no", "p")).select(
+        "id", "passage_no", F.explode("p.annotation").alias("a")
+    )
+    return found.select("id", "passage_no", "a", F.explode("a.location").alias("at")).select(
+        "id",
+        "passage_no",
+        F.col("a._id").alias("annotation_id"),
+        _infon("a.infon", "type").alias("type"),
+        _infon("a.infon", "identifier").alias("identifier"),
+        F.col("at._offset").alias("start"),
+        (F.col("at._offset") + F.col("at._length")).alias("stop"),
+        F.col("a.text").alias("mention"),
+    )
+
+
+def read_denotations(spark: SparkSession, path: str) -> DataFrame:
+    """(sourceid, denotation_id, type, start, stop, mention): the denotations of annotation JSON with the text they cover."""
+    docs = spark.read.schema(DENOTATION_SCHEMA).json(path)
+    rows = docs.select("sourceid", "text", F.explode("denotations").alias("d"))
+    start, stop = F.col("d.span.begin"), F.col("d.span.end")
+    return rows.select(
+        "sourceid", F.col("d.id").alias("denotation_id"), F.col("d.obj").alias("type"), start.alias("start"), stop.alias("stop"),
+        F.substring("text", start + 1, stop - start).alias("mention"),
+    )
+
+
 def read_annotation_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ANNOTATION_SCHEMA).json(path)
 

@@ -39,11 +39,19 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
 
 def read_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Comma rows of an earlier stage; name fewer columns than the file has to leave out trailing tags."""
-    return spark.read.schema(schema).csv(path)
+    return spark.read.schema(schema).csv(path, escape='"')
 
 
-def write_rows(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
-    """Delimited rows without quoting. `single_file` is for small results: it moves everything through one task."""
+def write_rows(df: DataFrame, path: str, sep: str = ",", single_file: bool = False, quoted: bool = False) -> None:
+    """Delimited rows. `single_file` is for small results: it moves everything through one task.
+
+    Without `quoted` values are written as they are, and one that holds the separator shifts the columns behind it; with it such
+    values are quoted. The empty text is read back as null. A line end inside a value is not kept together by `read_rows`.
+    """
+    if quoted:
+        rows = df.coalesce(1) if single_file else df
+        rows.write.csv(path, sep=sep, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        return
     line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
     lines = df.select(line.alias("value"))
     (lines.coalesce(1) if single_file else lines).write.text(path, lineSep="\n")
