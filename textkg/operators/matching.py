@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textkg.session import BROADCAST_BYTES, row_bytes
+from textkg.session import BROADCAST_BYTES, deal, row_bytes
 
 
 def _top_power(length: Column) -> Column:
@@ -44,7 +44,7 @@ def substring_pairs(
     if (size or 0) <= BROADCAST_BYTES:
         keyed = F.broadcast(keyed)
     length = F.length(text)
-    places = texts.where(length >= 1 << lowest).select(
+    places = deal(texts.where(length >= 1 << lowest)).select(
         "*", F.explode(F.sequence(F.lit(1), length - ((1 << lowest) - 1))).alias("__at")
     )
     powers = F.sequence(F.lit(lowest), F.least(F.lit(highest), _top_power(length - F.col("__at") + 1)))

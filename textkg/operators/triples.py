@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textkg.functions.chunking import longest
 from textkg.functions.text import STOPWORDS, capitalize, phrase_without, to_camel_case
 from textkg.operators.matching import first_match, substring_pairs
+from textkg.session import broadcast_if_small, deal
 
 OTHER = "Other"
 
@@ -132,15 +133,15 @@ def typed_triples(triples: DataFrame, typed: DataFrame, words: Sequence[str]) ->
 
 
 # Items up to this length are met through pieces of their holders.
-SHORT_ITEM = 12
+SHORT_ITEM = 6
 
 
 def _type_by_containment(items: DataFrame, typed: DataFrame) -> DataFrame:
     """(entity, type): the type of the shortest typed entity that contains the item, then the alphabetically first.
 
     Only one holder per item is wanted, so pairs are not formed: holders are cut into their pieces of the lengths that short
-    items have, and the best holder of each distinct piece comes from an aggregation that combines before its shuffle. An item then
-    meets at most one piece. Long items are few per holder and are matched by prefix keys.
+    items have, pieces that are no item fall out in the join with the items, and the best holder of each item comes from an aggregation that
+    combines before its shuffle, so a task hands on one row per item at most. Long items are few per holder and are matched by prefix keys.
     """
     holders = typed.select(F.col("entity").alias("__holder"), "type")
     size = F.length("entity")
@@ -150,14 +151,25 @@ def _type_by_containment(items: DataFrame, typed: DataFrame) -> DataFrame:
     out = substring_pairs(holders, "__holder", long_items, "entity").groupBy("entity").agg(F.min_by("type", order).alias("type"))
     if not lengths:
         return out
-    each = holders.select("*", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("__n")).where(F.length("__holder") >= F.col("__n"))
-    cut = F.transform(
-        F.sequence(F.lit(1), F.length("__holder") - F.col("__n") + 1), lambda i: F.substr(F.col("__holder"), i, F.col("__n"))
+    places = F.flatten(
+        F.array(
+            *[
+                F.when(F.length("__holder") >= n, _pieces(F.col("__holder"), n)).otherwise(F.array().cast("array<string>"))
+                for n in lengths
+            ]
+        )
+    )
+    short_items = broadcast_if_small(items.where(size <= SHORT_ITEM).select("entity").distinct())
+    found = deal(holders).select("__holder", "type", F.explode(places).alias("entity")).join(short_items, "entity")
+    best = found.groupBy("entity").agg(
+        F.min(F.struct(F.length("__holder").alias("n"), F.col("__holder").alias("h"), F.col("type"))).alias("best")
     )
-    pieces = each.select("__holder", "type", F.explode(F.array_distinct(F.when(F.col("__n") > 0, cut).otherwise(F.array(F.lit(""))))).alias("entity"))
-    best = pieces.groupBy("entity").agg(F.min(F.struct(F.length("__holder").alias("n"), F.col("__holder").alias("h"), F.col("type"))).alias("best"))
-    short = items.where(size <= SHORT_ITEM).join(best, "entity").select("entity", F.col("best.type").alias("type"))
-    return out.unionByName(short)
+    return out.unionByName(best.select("entity", F.col("best.type").alias("type")))
+
+
+def _pieces(text: Column, n: int) -> Column:
+    """All pieces of `n` code points of a text that has at least as many."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(n)))
 
 
 def triple_types(triples: DataFrame, typed_subjects: DataFrame, typed_objects: DataFrame) -> DataFrame:

@@ -80,6 +80,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def deal(df: DataFrame) -> DataFrame:
+    """Deal rows evenly over all tasks of a shuffle.
+
+    For few bytes of rows with much work each: adaptive execution would put what comes out of a shuffle into one task by its size.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column whose expression runs once per row.
 
