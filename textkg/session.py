@@ -70,6 +70,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables that `cut_lineage` wrote, once everything read from them is written itself.
+
+    Nothing that still has to be computed, or computed again after a loss, may depend on them.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        scratch = os.path.join(shared_dir(spark), "scratch", "cut-")
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            own = files.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(scratch)).toString()
+            if files.makeQualified(path).toString().startswith(own):
+                files.delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Repartition a scan only when it has fewer splits than the cluster has cores.
 
