@@ -527,3 +527,46 @@ def test_chat_layouts(spark):
     assert [r.turn for r in got if r.conv_id in (9, 10)] == [None, None]
     with pytest.raises(ValueError):
         chat.canonical_turns(spark.createDataFrame([(1, "x")], "conv_id long, blob string"))
+
+
+# ---- rows that once went wrong ------------------------------------------------------------------------------------
+
+
+def test_a_repeat_beyond_16_mib(spark):
+    rng = np.random.default_rng(5)
+    body = rng.integers(97, 123, 17_500_000, dtype=np.uint8)
+    passage = rng.integers(65, 91, 1000, dtype=np.uint8)
+    body[2_000_000:2_001_000] = passage
+    body[17_200_000:17_201_000] = passage
+    text = body.tobytes().decode()
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.span_digests(docs).collect()}
+    want = text[:2_000_000] + text[2_001_000:17_200_000] + text[17_201_000:]
+    assert got[1].n_removed == 2000 and got[1].n_spans == 2 and got[1].n_bytes == 17_500_000
+    assert got[1].kept_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    assert got[2].n_removed == 0
+
+
+def test_anchors_of_a_long_text_do_not_depend_on_pieces(monkeypatch):
+    rng = np.random.default_rng(6)
+    raw = rng.integers(0, 4, 40_000, dtype=np.uint8).tobytes()
+    whole = suffix_dedup.find_anchors(raw, np.array([0, len(raw)]))
+    monkeypatch.setattr(suffix_dedup, "_CHUNK", 1500)
+    parts = [found for _, found in suffix_dedup._chunk_anchors([raw], 200)]
+    assert len(parts) > 20
+    for name, values in whole.items():
+        assert np.array_equal(np.concatenate([p[name] for p in parts]), values), name
+
+
+def test_vectors_of_another_length_take_no_part(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(100, 3))
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(200, [9.0, 9.0, 9.0, 9.0])]
+    found = ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=3)
+    got = defaultdict(list)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    score = x @ x.T
+    want = {i: sorted((j for j in range(100) if j != i), key=lambda j: (-score[i, j], j))[:3] for i in range(0, 100, 20)}
+    assert set(got) == set(want)
+    assert np.mean([len(set(got[i]) & set(want[i])) / 3 for i in want]) >= 0.9

@@ -145,7 +145,8 @@ def nearest_neighbours(
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     rows = cut_lineage(rows.filter(finite & (norm2 > 0)).dropDuplicates(["vec_id", "v"]))
-    dim = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    lengths = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
+    dim = lengths["dim"] if lengths else 0
     rows = rows.filter(F.size("v") == dim)
     norm, n = rows.agg(F.sqrt(F.max(norm2)), F.count("*")).first()
     norm = norm or 1.0

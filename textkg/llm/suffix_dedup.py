@@ -5,7 +5,7 @@ Every byte covered by a string of `length` bytes that also starts anywhere else
 1. Anchors. In each window of `length` bytes the 32-byte string of smallest hash is an anchor (leftmost on ties), so equal windows have
    equal anchors at the same place. Polynomial prefix hashes give all string hashes of a chunk at once; about one position in
    85 is an anchor. An anchor's context is what a window around it can reach: up to 168 bytes before it, 200 from it on.
-2. Anchors whose string occurs once are dropped after a count. Equal contexts are counted with map-side combination, so a
+2. Anchors whose string occurs once are dropped: one pass over the texts counts the strings, a second one keeps the anchors of the others. Equal contexts are counted with map-side combination, so a
    large group of copies costs one row per task; a context that occurs twice is covered whole.
 3. Where one anchor string has several contexts, their suffixes are sorted, once to the right and once (reversed) to the left: a
    mergesort whose comparisons find the common extension by binary search over prefix hashes and then look at one byte. Claimed
@@ -30,14 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkg.session import cut_lineage
+from textkg.llm.common import byte_slices
+from textkg.session import cut_lineage, release
 
 LENGTH = 200
 GRAM = 32
 GROUP_ROWS = 1 << 15
 PART_ROWS = 1 << 13
 BROADCAST_BYTES = 48 << 20
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MASK = (1 << 64) - 1
 
@@ -222,36 +223,68 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("d"), text.alias("raw")).select("d", F.xxhash64("raw").alias("t"), "raw")
 
 
+def _chunk_anchors(raws: list[bytes], length: int):
+    """(first row, anchors) of runs of texts of about a chunk; a longer text is worked off in pieces that overlap, each with the anchors that
+    begin in it, so memory doesn't follow the length of a text."""
+    at = 0
+    while at < len(raws):
+        end, total = at, 0
+        while end < len(raws) and (end == at or total + len(raws[end]) <= _CHUNK):
+            total += len(raws[end])
+            end += 1
+        if total <= 2 * _CHUNK:
+            bounds = np.concatenate([[0], np.cumsum([len(r) for r in raws[at:end]])]).astype(np.int64)
+            yield at, find_anchors(b"".join(raws[at:end]), bounds, length)
+        else:  # one text
+            raw = raws[at]
+            for begin in range(0, len(raw), _CHUNK):
+                # an anchor's windows and its context reach less than `length` bytes beyond it on either side
+                low, high = max(0, begin - length), min(len(raw), begin + _CHUNK + 2 * length)
+                found = find_anchors(raw[low:high], np.array([0, high - low], np.int64), length)
+                found["pos"] = found["pos"] + low
+                own = (found["pos"] >= begin) & (found["pos"] < begin + _CHUNK)
+                yield at, {k: v[own] for k, v in found.items()}
+        at = end
+
+
 def _anchors(keyed: DataFrame, length: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            raws, at = batch.column(2).to_pylist(), 0
-            while at < len(raws):
-                end, total = at, 0
-                while end < len(raws) and (end == at or total + len(raws[end]) <= _CHUNK):
-                    total += len(raws[end])
-                    end += 1
-                bounds = np.concatenate([[0], np.cumsum([len(r) for r in raws[at:end]])]).astype(np.int64)
-                found = find_anchors(b"".join(raws[at:end]), bounds, length)
+        for batch in (part for whole in batches for part in byte_slices(whole, 2, _CHUNK)):
+            for at, found in _chunk_anchors(batch.column(2).to_pylist(), length):
                 who = pa.array(found.pop("doc") + at)
                 small = {"pos": pa.int32(), "nl": pa.int16(), "nr": pa.int16()}
                 columns = {k: pa.array(v).cast(small.get(k, pa.int64())) for k, v in found.items()}
                 whole = pa.table({"d": batch.column(0).take(who), "t": batch.column(1).take(who)} | columns)
                 yield from whole.to_batches(max_chunksize=1 << 16)
-                at = end
 
     d = keyed.schema["d"].dataType.simpleString()
     return keyed.mapInArrow(run, f"d {d}, t long, pos int, h long, c1 long, c2 long, nl short, nr short")
 
 
+def _repeated_strings(keyed: DataFrame, length: int) -> DataFrame:
+    """(h): the hashes of anchor strings that are anchors more than once. Only hashes and counts are shuffled."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in byte_slices(whole, 0, _CHUNK)):
+            for _, found in _chunk_anchors(batch.column(0).to_pylist(), length):
+                h, n = np.unique(found["h"], return_counts=True)
+                for a in range(0, len(h), 1 << 16):
+                    columns = [pa.array(h[a : a + (1 << 16)], pa.int64()), pa.array(n[a : a + (1 << 16)], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["h", "n"])
+
+    counted = keyed.select("raw").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return cut_lineage(counted.filter("n > 1").select("h"))
+
+
 _CONTEXT = ["h", "c1", "c2", "nl", "nr"]
 
 
-def _with_texts(keyed: DataFrame, lists: DataFrame, column: str, how: str) -> DataFrame:
-    """Join of the texts with a packed list per document. The list is broadcast only when its measured size is small."""
-    n = lists.agg(F.sum(F.octet_length(column) + 64)).first()[0] or 0
+def _with_texts(keyed: DataFrame, lists: DataFrame, column: str, how: str, measured: bool = False) -> DataFrame:
+    """Join of the texts with a packed list per document. With `measured` a list of small measured size is broadcast."""
     side = lists.withColumnsRenamed({"d": "d2", "t": "t2"})
-    side = F.broadcast(side) if n <= BROADCAST_BYTES else side
+    if measured:
+        n = lists.agg(F.sum(F.octet_length(column) + 64)).first()[0] or 0
+        side = F.broadcast(side) if n <= BROADCAST_BYTES else side
     return keyed.join(side, keyed["d"].eqNullSafe(side["d2"]) & (keyed["t"] == side["t2"]), how).drop("d2", "t2")
 
 
@@ -326,9 +359,10 @@ def repeated_spans(
 ) -> DataFrame:
     """(d, t, spans): per document with repeated bytes its maximal spans, packed as pairs of int32 (start, end)."""
     keyed = _keyed(docs, id_col, text_col)
-    anchors = cut_lineage(_anchors(keyed, length))
-    again = anchors.groupBy("h").count().filter("count > 1").select("h")
-    anchors = cut_lineage(anchors.join(again, "h", "left_semi"))
+    again = _repeated_strings(keyed, length)
+    # the texts are read twice, so anchors that occur once are never written
+    side = F.broadcast(again) if again.count() * 48 <= BROADCAST_BYTES else again
+    anchors = cut_lineage(_anchors(keyed, length).join(side, "h", "left_semi"))
     groups = cut_lineage(
         anchors.groupBy(_CONTEXT).agg(F.count("*").alias("n"), F.min(F.struct("d", "t", "pos")).alias("r"))
     )
@@ -336,13 +370,16 @@ def repeated_spans(
     wanted = groups.join(per_string, "h").select(*_CONTEXT, "r.d", "r.t", "r.pos", "contexts")
     contexts = cut_lineage(_contexts(keyed, wanted.filter(F.col("contexts") <= group_rows)))
     ranges = _sorted_ranges(contexts, contexts.count(), length)
+    scratch = [again, groups, contexts]
     large = wanted.filter(F.col("contexts") > group_rows)
     if large.head(1):
-        ranges = ranges.unionByName(_counted_ranges(cut_lineage(_contexts(keyed, large)), length))
+        scratch.append(cut_lineage(_contexts(keyed, large)))
+        ranges = ranges.unionByName(_counted_ranges(scratch[-1], length))
     whole = groups.filter((F.col("n") > 1) & (F.col("nl") + F.col("nr") >= length)).select(
         *_CONTEXT, F.array((-F.col("nl")).cast("int")).alias("a"), F.array(F.col("nr").cast("int")).alias("z")
     )
     ranges = cut_lineage(ranges.filter(F.size("a") > 0).unionByName(whole))
+    release(*scratch)
     placed = anchors.join(ranges, _CONTEXT).select("d", "t", "pos", F.explode(F.arrays_zip("a", "z")).alias("x"))
     span = F.struct((F.col("pos") + F.col("x.a")).alias("a"), (F.col("pos") + F.col("x.z")).alias("z"))
     lists = placed.groupBy("d", "t").agg(F.collect_set(span).alias("s"))  # bounded by the document's length
@@ -359,7 +396,9 @@ def repeated_spans(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["d", "t", "spans"])
 
     d = keyed.schema["d"].dataType.simpleString()
-    return cut_lineage(lists.mapInArrow(merge, f"d {d}, t long, spans binary"))
+    spans = cut_lineage(lists.mapInArrow(merge, f"d {d}, t long, spans binary"))
+    release(anchors, ranges)
+    return spans
 
 
 def _kept(raw: bytes, spans: np.ndarray) -> bytes:
@@ -372,7 +411,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     spans = repeated_spans(docs, length, id_col, text_col)
     names = docs.columns
     rows = docs.select(F.struct(*names).alias("row"), F.col(id_col).alias("d"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
-    joined = _with_texts(rows.withColumn("t", F.xxhash64("raw")), spans, "spans", "left")
+    joined = _with_texts(rows.withColumn("t", F.xxhash64("raw")), spans, "spans", "left", measured=True)
 
     def run(batches):
         for batch in batches:
@@ -391,7 +430,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 def span_digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of what is kept, for every row."""
     keyed = _keyed(docs, id_col, text_col)
-    joined = _with_texts(keyed, repeated_spans(docs, length, id_col, text_col), "spans", "left").select("d", "raw", "spans")
+    joined = _with_texts(keyed, repeated_spans(docs, length, id_col, text_col), "spans", "left", measured=True).select("d", "raw", "spans")
 
     def run(batches):
         for batch in batches:
