@@ -36,7 +36,7 @@ _PLAIN = re.compile("[!-&(-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0
 # Of bytes of plain words: 0 ends a word, 1 letter (also every byte of a non-ASCII letter), 2 digit, 3 another character.
 _CLASS = np.array([0 if b == 10 else 2 if 48 <= b < 58 else 1 if b >= 128 or chr(b).isalpha() else 3 for b in range(256)], np.uint8)
 # Characters of text encoded at once.
-_BATCH_CHARS = 2 << 20
+_BATCH_CHARS = 5 << 20
 
 
 def _byte_letters() -> list[str]:
