@@ -32,17 +32,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textkg.llm.common import byte_slices
 from textkg.llm.suffix_dedup import PrefixHashes, _mix
 from textkg.operators.closure import connected_components
-from textkg.session import cut_lineage
+from textkg.session import broadcast_if_small, cut_lineage
 
 WORDS = 5
 SHARE = 75  # per cent
 FREQUENT = 64  # shingles in more prefixes than this are indexed in pairs
 BLOCK = 256
 BITS = 1024
+FIRSTS = 8
 BROADCAST_BYTES = 48 << 20
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -125,7 +127,7 @@ def _sets_table(keyed: DataFrame, share: int) -> DataFrame:
     """(d, t, n, fp, need, prefix) of every row; the prefix holds 6 bytes of each hash."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 2, _CHUNK)):
             rows = []
             for found in shingle_sets(batch.column(2).to_pylist()):
                 n = len(found)
@@ -244,7 +246,7 @@ def _members(texts: DataFrame) -> DataFrame:
     """(fp, members, bits): the shingle hashes of each set, packed, and their parities."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in byte_slices(whole, 1, _CHUNK)):
             fps = batch.column(0)
             for i, found in enumerate(shingle_sets(batch.column(1).to_pylist())):
                 packed = (pa.array([x], pa.binary()) for x in (found.astype("<u8").tobytes(), parity_bits(found)))
@@ -280,22 +282,30 @@ def _sizes_fit(a: str, b: str, share: int):
 def _open_pairs(rows: DataFrame, members: DataFrame, share: int, block: int) -> DataFrame:
     """Distinct pairs (a, b) of different components that share a signature and whose parities are near enough to link; `rows` are
     (sig, fp, n, label)."""
-    sizes = rows.groupBy("sig").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = rows.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    dealt = dealt.join(members.select("fp", "bits"), "fp")
-    lists = dealt.groupBy("sig", "block").agg(F.collect_list(F.struct("fp", "n", "label", "bits")).alias("m"))
+    # one row per set: its parities and its first signatures, where a pair that shares one of them before `sig` is formed
+    each = rows.groupBy("fp", "n", "label").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))  # bounded by the set
+    each = each.join(members.select("fp", "bits"), "fp").withColumn("firsts", F.slice("sigs", 1, FIRSTS))
+    large = rows.groupBy("sig").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1")
+    dealt = each.select("fp", "n", "label", "bits", "firsts", F.explode("sigs").alias("sig")).join(broadcast_if_small(large), "sig", "left")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))))
+    lists = dealt.groupBy("sig", "block").agg(F.collect_list(F.struct("fp", "n", "label", "bits", "firsts")).alias("m"))
     right = lists.select("sig", F.col("block").alias("block2"), F.col("m").alias("m2"))
-    met = lists.join(right, "sig").filter("block <= block2").select("m", "m2")
+    met = lists.join(right, "sig").filter("block <= block2").select("m", "m2", "sig")
 
     def parts(column):
         """Offsets and the fields of all members of the lists of a column."""
         flat, ends = column.flatten(), column.offsets.to_numpy()
         bits = np.frombuffer(b"".join(flat.field("bits").to_pylist()), np.uint64).reshape(len(flat), -1)
-        return ends - ends[0], bits, *(flat.field(k).to_numpy() for k in ("fp", "n", "label"))
+        first = flat.field("firsts")
+        sizes = np.diff(first.offsets.to_numpy())
+        # shorter lists are filled up with their last entry
+        at = first.offsets.to_numpy()[:-1, None] + np.minimum(np.arange(FIRSTS), sizes[:, None] - 1)
+        return ends - ends[0], bits, first.values.to_numpy()[at], *(flat.field(k).to_numpy() for k in ("fp", "n", "label"))
 
     def run(batches):
         for batch in batches:
-            (ends, bits, *x), (ends2, bits2, *y) = parts(batch.column(0)), parts(batch.column(1))
+            (ends, bits, first, *x), (ends2, bits2, first2, *y) = parts(batch.column(0)), parts(batch.column(1))
+            sigs = batch.column(2).to_numpy()
             for k in range(len(batch)):
                 s, s2 = slice(ends[k], ends[k + 1]), slice(ends2[k], ends2[k + 1])
                 (fa, na, la), (fb, nb, lb) = (v[s] for v in x), (v[s2] for v in y)
@@ -303,7 +313,10 @@ def _open_pairs(rows: DataFrame, members: DataFrame, share: int, block: int) ->
                 i, j = np.nonzero(fits)
                 apart = np.bitwise_count(bits[s][i] ^ bits2[s2][j]).sum(axis=1, dtype=np.int64)
                 near = (100 + share) * apart <= (100 - share) * (na[i] + nb[j])  # the bound on elements that only one set has
-                low, high = np.minimum(fa[i], fb[j])[near], np.maximum(fa[i], fb[j])[near]
+                i, j = i[near], j[near]
+                f, f2 = first[s][i], first2[s2][j]
+                new = ~((f[:, :, None] == f2[:, None, :]) & (f < sigs[k])[:, :, None]).any(axis=(1, 2))
+                low, high = np.minimum(fa[i], fb[j])[new], np.maximum(fa[i], fb[j])[new]
                 pairs = np.unique(np.stack([low, high]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
