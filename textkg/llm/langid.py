@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,9 +132,10 @@ def identify_languages(
 
     With `carry` the whole input row comes along as the struct `row`.
     """
-    extra = [F.struct(*docs.columns).alias("row")] * carry
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), *extra)
-    languages, folded = train(rows.drop("row"), labelled_sample(rows.drop("row"), folds, held_out, per_language, landmarks))
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    # a carried row holds the text already, so it is not sent a second time
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.struct(*docs.columns).alias("row")) if carry else plain.drop("lang")
+    languages, folded = train(plain, labelled_sample(plain, folds, held_out, per_language, landmarks))
     shared = docs.sparkSession.sparkContext.broadcast((languages, folded))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +143,7 @@ def identify_languages(
         for batch in batches:
             for a in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(a, _BATCH)
-                texts = part.column(1).to_pylist()
+                texts = (pc.struct_field(part.column(1), text_col) if carry else part.column(1)).to_pylist()
                 known = np.array([bool(t and _LETTER.search(t)) for t in texts]) & bool(names)
                 if names:
                     f = sum(x @ m for x, m in zip(presence([letters_of(t) for t in texts]), matrix))
@@ -151,7 +153,7 @@ def identify_languages(
                     guess = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
                 else:
                     p, guess = np.zeros(len(texts)), [UNKNOWN] * len(texts)
-                kept = [part.column(i) for i in ((0, 2) if carry else (0,))]
+                kept = [part.column(i) for i in ((0, 1) if carry else (0,))]
                 yield pa.RecordBatch.from_arrays(
                     [*kept, pa.array(guess, pa.string()), pa.array(p.astype(float))],
                     names=["doc_id", *["row"] * carry, "lang_pred", "score"],
@@ -159,7 +161,7 @@ def identify_languages(
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     row_type = f"row {rows.schema['row'].dataType.simpleString()}, " if carry else ""
-    out = rows.select("doc_id", "text", *["row"] * carry).mapInArrow(run, f"doc_id {id_type}, {row_type}lang_pred string, score double")
+    out = rows.mapInArrow(run, f"doc_id {id_type}, {row_type}lang_pred string, score double")
     return out.select("doc_id", *["row"] * carry, (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "lang_pred", "score")
 
 

@@ -247,9 +247,11 @@ def score_toxicity(
 
     With `carry` the whole input row comes along as the struct `row`, so that nothing has to be joined back.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.struct(*docs.columns).alias("row")] * carry)
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # a carried row holds the text already, so it is not sent a second time
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.struct(*docs.columns).alias("row")) if carry else plain
     wanted = F.broadcast(labelled_sample(labels, folds, held_out, max_labelled))  # at most `max_labelled` rows
-    sample = rows.select("doc_id", "text").join(wanted, "doc_id").select("text", "toxic")
+    sample = plain.join(wanted, "doc_id").select("text", "toxic")
     lexicon = learn_lexicon(sample, "text")
     words, stems = ([t for t, s in lexicon.terms if s == kind] for kind in (False, True))
     n = len(FEATURES)
@@ -260,7 +262,8 @@ def score_toxicity(
             at = batch.schema.get_field_index("text")
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                x = document_features([t or "" for t in part.column(at).to_pylist()], own)
+                texts = part.column(at) if at >= 0 else pc.struct_field(part.column(1), text_col)
+                x = document_features([t or "" for t in texts.to_pylist()], own)
                 columns = [part.column(i) for i in keep]
                 names = [part.schema.names[i] for i in keep]
                 if weights is not None:
@@ -277,7 +280,7 @@ def score_toxicity(
     weights = fit_weights(np.repeat(seen[:, :n], times, axis=0), np.repeat((seen[:, n] > 0).astype(float), times))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     row_type = f"row {rows.schema['row'].dataType.simpleString()}, " if carry else ""
-    kept = [0, 2] if carry else [0]
+    kept = [0, 1] if carry else [0]
     scored = rows.mapInArrow(lambda it: features(it, kept, weights), f"doc_id {id_type}, {row_type}score double, {figures}")
     return scored.select(
         "doc_id", *["row"] * carry, (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
