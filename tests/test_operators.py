@@ -44,14 +44,12 @@ def test_key_lists_split_a_hot_key_and_lose_nothing(spark):
 
 
 def test_cogroup(spark):
-    visits = spark.createDataFrame(
-        [("index.html", "1.2.3.4"), ("about.html", "3.4.5.6"), ("index.html", "1.3.3.1")], "url string, ip string"
-    )
-    names = spark.createDataFrame([("index.html", "Home"), ("faq.html", "Faq")], "url string, name string")
-    assert rows(ls.cogroup_lists(visits, names, "url", "ip", "name")) == [
-        ("about.html", 0, ["3.4.5.6"], []),
-        ("faq.html", 0, [], ["Faq"]),
-        ("index.html", 0, ["1.2.3.4", "1.3.3.1"], ["Home"]),
+    landings = spark.createDataFrame([("north pier", "cod"), ("mole", "eel"), ("north pier", "hake")], "place string, fish string")
+    keepers = spark.createDataFrame([("north pier", "Ines"), ("lock", "Bo")], "place string, keeper string")
+    assert rows(ls.cogroup_lists(landings, keepers, "place", "fish", "keeper")) == [
+        ("lock", 0, [], ["Bo"]),
+        ("mole", 0, ["eel"], []),
+        ("north pier", 0, ["cod", "hake"], ["Ines"]),
     ]
 
 
@@ -302,20 +300,20 @@ def test_violations(spark):
 
 def test_questions_and_answers(spark):
     facts = [
-        ("Walt", "has_pet", "Huey"), ("Walt", "likes", "Dewey"), ("Walt", "works_for", "Tibbs"),
-        ("The_Sun", "is_part_of", "Solar_System"), ("Fred", "has_father", "Tom"), ("Jim", "has_father", "Tom"),
+        ("Ines", "has_boat", "Petrel"), ("Ines", "greets", "Bo"), ("Ines", "sails_with", "Karim"),
+        ("Ada", "has_captain", "Olle"), ("Juno", "has_captain", "Olle"),
     ]
     kg = spark.createDataFrame(facts, "s string, p string, o string")
-    asked = ["who has pet Huey", "who likes Dewey", "who works for Tibbs", "whose father Tom", "why zzz Qqq"]
+    asked = ["who has boat Petrel", "who greets Bo", "who sails with Karim", "whose captain Olle", "why zzz Qqq"]
     q = spark.createDataFrame([(x,) for x in asked], "question string")
     got = defaultdict(set)
     for question, answer in rows(qn.answers(q, kg, kg.select(F.col("p").alias("predicate")).distinct())):
         got[question].add(answer)
     assert got == {
-        "who has pet Huey": {"Walt has pet Huey"},
-        "who likes Dewey": {"Walt likes Dewey"},
-        "who works for Tibbs": {"Walt works for Tibbs"},
-        "whose father Tom": {"Fred father Tom", "Jim father Tom"},
+        "who has boat Petrel": {"Ines has boat Petrel"},
+        "who greets Bo": {"Ines greets Bo"},
+        "who sails with Karim": {"Ines sails with Karim"},
+        "whose captain Olle": {"Ada captain Olle", "Juno captain Olle"},
         "why zzz Qqq": {"Answer not found"},
     }
 
@@ -340,29 +338,29 @@ def test_labels_by_language(spark):
     assert sorted((r.ind, r.text) for r in got.collect()) == [("a", "house"), ("b", "plain")]
 
 
-def test_axioms_of_a_family(spark):
+def test_axioms_of_a_harbour(spark):
     props = spark.createDataFrame(
-        [("hasChild", "Person", "Person", "InvOf:hasParent"), ("hasGender", "Person", "Gender", "Func"), ("", "A", "B", "Func")],
+        [("moorsAt", "Vessel", "Quay", "InvOf:hosts"), ("ownedBy", "Vessel", "Firm", "Func"), ("", "A", "B", "Func")],
         "property string, domain string, range string, kind string",
     )
     got = {(r.kind, r.s, r.o) for r in ax.object_property_axioms(props).collect()}
     assert got == {
-        ("ObjectPropertyDomain", "hasChild", "Person"), ("ObjectPropertyRange", "hasChild", "Person"),
-        ("ObjectPropertyDomain", "hasParent", "Person"), ("ObjectPropertyRange", "hasParent", "Person"),
-        ("InverseObjectProperties", "hasChild", "hasParent"), ("ObjectPropertyDomain", "hasGender", "Person"),
-        ("ObjectPropertyRange", "hasGender", "Gender"), ("FunctionalObjectProperty", "hasGender", None),
+        ("ObjectPropertyDomain", "moorsAt", "Vessel"), ("ObjectPropertyRange", "moorsAt", "Quay"),
+        ("ObjectPropertyDomain", "hosts", "Quay"), ("ObjectPropertyRange", "hosts", "Vessel"),
+        ("InverseObjectProperties", "moorsAt", "hosts"), ("ObjectPropertyDomain", "ownedBy", "Vessel"),
+        ("ObjectPropertyRange", "ownedBy", "Firm"), ("FunctionalObjectProperty", "ownedBy", None),
     }
     facts = spark.createDataFrame(
-        [("Mary", "fullName", "Mary Jost", "Data"), ("Mary", "ID", "7", "Data"), ("Mary", "hasChild", "Tom", "Obj"), ("x", "y", "z", "No")],
+        [("Petrel", "callSign", "P E T", "Data"), ("Petrel", "berths", "7", "Data"), ("Petrel", "moorsAt", "Mole", "Obj"), ("x", "y", "z", "No")],
         "subject string, property string, object string, kind string",
     )
     data = spark.createDataFrame(
-        [("ID", "Person", "int"), ("fullName", "Person", "string")], "property string, domain string, datatype string"
+        [("berths", "Vessel", "int"), ("callSign", "Vessel", "string")], "property string, domain string, datatype string"
     )
     assert {(r.kind, r.s, r.p, r.o, r.lit_type) for r in ax.fact_axioms(facts, data).collect()} == {
-        ("DataPropertyAssertion", "Mary", "fullName", "Mary Jost", "string"),
-        ("DataPropertyAssertion", "Mary", "ID", "7", "integer"),
-        ("ObjectPropertyAssertion", "Mary", "hasChild", "Tom", None),
+        ("DataPropertyAssertion", "Petrel", "callSign", "P E T", "string"),
+        ("DataPropertyAssertion", "Petrel", "berths", "7", "integer"),
+        ("ObjectPropertyAssertion", "Petrel", "moorsAt", "Mole", None),
     }
 
 

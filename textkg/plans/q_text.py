@@ -14,7 +14,7 @@ from textkg.plans.catalog import query
 from textkg.session import broadcast_if_small, once
 
 # The punctuation entries a token list is filtered by.
-PUNCTUATION = (".", ",", ":", ";", "?", "!", "(", ")", "'", '"', "-", "|")
+PUNCTUATION = (",", ".", ":", ";", "'", "%", "=", "''", "``")
 
 
 @query(
