@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 Pattern = tuple[str, str, str]
 
 
-def _matches(kg: DataFrame, pattern: Pattern) -> DataFrame:
+def pattern_rows(kg: DataFrame, pattern: Pattern) -> DataFrame:
     """One column per variable of the pattern; a variable used twice must have equal values."""
     out = kg
     named: dict[str, str] = {}
@@ -32,7 +32,7 @@ def bgp(kg: DataFrame, patterns: Sequence[Pattern], facts: Sequence[DataFrame] |
     """
     left = list(zip(patterns, facts if facts is not None else [kg] * len(patterns)))
     first, source = left.pop(0)
-    out = _matches(source, first)
+    out = pattern_rows(source, first)
     while left:
         at = next(
             (i for i, (p, _) in enumerate(left) if any(t[1:] in out.columns for t in p if t.startswith("?"))), None
@@ -40,7 +40,7 @@ def bgp(kg: DataFrame, patterns: Sequence[Pattern], facts: Sequence[DataFrame] |
         if at is None:
             raise ValueError(f"patterns share no variable with the rest: {[p for p, _ in left]}")
         following, source = left.pop(at)
-        right = _matches(source, following)
+        right = pattern_rows(source, following)
         shared = [c for c in right.columns if c in out.columns]
         # a pattern whose variables are all known only tests, so it must not multiply rows
         how = "left_semi" if set(right.columns) == set(shared) else "inner"

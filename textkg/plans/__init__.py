@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from types import ModuleType
 
-_MODULES = ("q_text", "q_chain", "q_stats", "q_triples", "q_graph", "q_sources", "q_ml", "q_topics")
+_MODULES = ("q_text", "q_chain", "q_stats", "q_triples", "q_graph", "q_patterns", "q_sources", "q_ml", "q_topics")
 
 
 def load_all() -> ModuleType:
