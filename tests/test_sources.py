@@ -35,6 +35,27 @@ def test_word_list_keeps_file_order(spark, tmp_path):
     assert [(r.ord, r.word) for r in got] == list(enumerate(["Risk", "Drug", "Gene", "Cell", "Mouse"]))
 
 
+def test_places_of_split_files(spark, tmp_path):
+    lines = [",".join(f"w{i}x{j}" for j in range(i % 4)) for i in range(300)]
+    put(tmp_path, "a.txt", "\n".join(lines))
+    put(tmp_path, "b.txt", "one\r\n\r\ntwo,,three\r\n")
+    put(tmp_path, "empty.txt", "")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert tf.read_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 10
+        numbered = rows(tf.read_numbered_lines(spark, str(tmp_path)).select("file", "line", "value"))
+        words = rows(tf.read_word_list(spark, str(tmp_path)).select("file", "ord", "word"))
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    other = [("b.txt", 0, "one"), ("b.txt", 1, ""), ("b.txt", 2, "two,,three")]
+    assert numbered == sorted([("a.txt", i, x) for i, x in enumerate(lines)] + other)
+    listed = [w for x in lines for w in x.split(",") if w]
+    assert words == sorted([("a.txt", i, w) for i, w in enumerate(listed)] + [("b.txt", i, w) for i, w in enumerate(["one", "two", "three"])])
+
+
 def test_token_file(spark, tmp_path):
     put(tmp_path, "t.txt", 'needs need VBZ\n" " ``\n')
     assert rows(tf.read_token_file(spark, str(tmp_path))) == [('"', '"', "``"), ("needs", "need", "VBZ")]

@@ -85,6 +85,26 @@ def src_word_list(spark, sf):
     return ct.count_by(tf.read_word_list(spark, path), "word")
 
 
+@query(
+    "src_line_places",
+    """SELECT doc_id, len(string_split(coalesce(text, ''), chr(10))) AS n_lines, true AS in_order FROM documents""",
+)
+def src_line_places(spark, sf):
+    """Every document's lines, written to files in order and read back in splits, stand one after the other at their numbers."""
+    path = scratch_path(spark, "lines")
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    docs = v.table(spark, sf, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    told = docs.select("doc_id", F.posexplode(lines).alias("j", "text")).select(F.concat_ws("\t", "doc_id", "j", "text").alias("line"))
+    tf.write_lines(told, "line", path)
+    parts = F.split("value", "\t", 3)
+    seen = tf.read_numbered_lines(spark, path).select(
+        parts[0].cast("bigint").alias("doc_id"), (F.col("line") - parts[1].cast("bigint")).alias("begin"), "path"
+    )
+    # lines in their order all point to the same first line
+    same = (F.min("begin") == F.max("begin")) & (F.min("path") == F.max("path"))
+    return seen.groupBy("doc_id").agg(F.count("*").alias("n_lines"), same.alias("in_order"))
+
+
 @query(
     "src_token_file",
     f"""WITH {sq.LEMMAS} SELECT w AS surface, lemma, pos, count(*) AS n FROM lem GROUP BY ALL""",

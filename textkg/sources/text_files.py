@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textkg.functions.text import base_name
+from textkg.session import broadcast_if_small, cut_lineage
 
 TOKEN_SCHEMA = "surface string, lemma string, pos string"
 
@@ -23,13 +24,45 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path if isinstance(path, str) else list(path), lineSep="\n")
 
 
-def read_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ord, word): a line holds one word or several parted by commas; `ord` is the place in the file.
+def _at_places(lines: DataFrame, weight: Column, name: str) -> DataFrame:
+    """Add the sum of `weight` over all earlier lines of the file.
 
-    Files are read whole, as line order matters and is lost when a file is split.
+    Inside a split the order of reading gives it, and a split has a bounded size; the sums of whole splits, one row each, give where it starts.
     """
-    words = F.filter(F.flatten(F.transform(F.split("text", "\r?\n"), lambda x: F.split(x, ","))), lambda w: w != "")
-    return read_documents(spark, path).select("file", F.posexplode(words).alias("ord", "word"))
+    # written once, as the number of a row holds for one reading only
+    lines = cut_lineage(lines.withColumn("__n", weight.cast("bigint")))
+    split = ["path", "start"]
+    earlier = Window.partitionBy(*split).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy(*split).agg(F.sum("__n").alias("__all"))
+    above = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    bases = cut_lineage(splits.select(*split, F.coalesce(F.sum("__all").over(above), F.lit(0)).alias("__base")))
+    inside = lines.withColumn("__in", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    placed = inside.join(broadcast_if_small(bases), split)
+    return placed.withColumn(name, F.col("__in") + F.col("__base")).drop("__n", "__in", "__base", "__at")
+
+
+def _split_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, path, start, __at, value): lines, the start of their split, and the order of reading inside it."""
+    return read_lines(spark, path).select(
+        base_name(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("__at"),
+        F.regexp_replace("value", "\r$", "").alias("value"),
+    )
+
+
+def read_numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, path, line, value): `line` counts the lines of each file from 0, also where a file is read in many splits."""
+    return _at_places(_split_lines(spark, path), F.lit(1), "line").drop("start")
+
+
+def read_word_list(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, ord, word): a line holds one word or several parted by commas; `ord` is the place in the file, from 0.
+
+    Files may be read in any number of splits. Empty words have no place.
+    """
+    lines = _split_lines(spark, path).withColumn("words", F.filter(F.split("value", ","), lambda w: w != "")).drop("value")
+    placed = _at_places(lines, F.size("words"), "first")
+    return placed.select("file", "first", F.posexplode("words").alias("at", "word")).select("file", (F.col("first") + F.col("at")).alias("ord"), "word")
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
