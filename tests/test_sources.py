@@ -171,6 +171,14 @@ def test_articles(spark, tmp_path):
     assert got == {"T": None, "U": None}
 
 
+def test_stored_search_results(spark, tmp_path):
+    put(tmp_path, "a.xml", "<?xml version='1.0'?>\n<eSearchResult><Count>9</Count><IdList>\n<Id>5</Id>\n<Id>5</Id><Id>4</Id></IdList></eSearchResult>")
+    put(tmp_path, "b.xml", "<all><eSearchResult><IdList/></eSearchResult>\n<eSearchResult><IdList><Id>7</Id></IdList><QueryTranslation>x y</QueryTranslation>\n</eSearchResult></all>")
+    assert [tuple(r) for r in ar.read_search_results(spark, str(tmp_path)).orderBy("file", "ord").collect()] == [
+        ("a.xml", None, 9, 0, "5"), ("a.xml", None, 9, 1, "5"), ("a.xml", None, 9, 2, "4"), ("b.xml", "x y", None, 0, "7")
+    ]
+
+
 def test_id_list(spark):
     df = spark.createDataFrame([("<r><IdList><Id>1</Id><Id>22</Id></IdList><Id>9</Id></r>",)], "x string")
     assert df.select(ar.id_list(F.col("x"))).first()[0] == ["1", "22"]

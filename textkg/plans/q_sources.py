@@ -480,6 +480,25 @@ def xml_id_list(spark, sf):
     return batches.select(F.explode(ar.id_list(xml)).alias("id"))
 
 
+@query(
+    "src_search_results",
+    """SELECT min(doc_id) OVER w || ' to ' || max(doc_id) OVER w AS term, count(*) OVER w AS total,
+      (row_number() OVER (PARTITION BY b ORDER BY doc_id) - 1)::INTEGER AS ord, doc_id::VARCHAR AS id
+    FROM (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS b FROM documents) WINDOW w AS (PARTITION BY b)""",
+)
+def src_search_results(spark, sf):
+    """Results of 200 ids stored as files, and read back."""
+    path = scratch_path(spark, "search")
+    ids = F.split("ids", ",")
+    xml = F.concat(
+        F.lit("<eSearchResult><Count>"), F.size(ids), F.lit("</Count><IdList><Id>"), F.array_join(ids, "</Id><Id>"),
+        F.lit("</Id></IdList><QueryTranslation>"), ids[0], F.lit(" to "), F.element_at(ids, -1), F.lit("</QueryTranslation></eSearchResult>"),
+    )
+    batches = od.batches(v.table(spark, sf, "documents"), "doc_id", 200)
+    batches.select("batch", xml.alias("value")).write.partitionBy("batch").text(path)  # a file for each result
+    return ar.read_search_results(spark, path).select("term", "total", "ord", "id")
+
+
 # ---- ontology files -----------------------------------------------------------------------------------------------
 
 

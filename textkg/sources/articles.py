@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkg.functions.text import squeeze
+from textkg.functions.text import base_name, squeeze
 
 ARTICLE_SCHEMA = (
     "MedlineCitation struct<PMID:string,Article:struct<ArticleTitle:string,"
     "Abstract:struct<AbstractText:array<struct<_Label:string,_VALUE:string>>>>>"
 )
 
+SEARCH_SCHEMA = "Count bigint, IdList struct<Id:array<string>>, QueryTranslation string"
+
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """(pmid, title, sections ARRAY<STRING>), sections in file order, null without an abstract."""
@@ -43,3 +45,16 @@ def title_abstracts(articles: DataFrame, order: Column) -> DataFrame:
 def id_list(xml: Column) -> Column:
     """ARRAY<STRING> of the ids in a search result."""
     return F.xpath(xml, F.lit("//IdList/Id/text()"))
+
+
+def read_search_results(spark: SparkSession, path: str) -> DataFrame:
+    """(file, term, total, ord, id) of stored search results: each id with its place in its result, from 0.
+
+    A file holds one result, or several below a root element. `term` is the query as the service understood it, `total` how many ids it has in all; both are null
+    where the result doesn't say. A result without ids has no rows.
+    """
+    found = spark.read.format("xml").option("rowTag", "eSearchResult").schema(SEARCH_SCHEMA).load(path)
+    return found.select(
+        base_name(F.col("_metadata.file_path")).alias("file"), F.col("QueryTranslation").alias("term"), F.col("Count").alias("total"),
+        F.posexplode("IdList.Id").alias("ord", "id"),
+    )
