@@ -5,41 +5,39 @@ decisions. At every node (the last 0 to 5 bytes and the decisions made so far) t
 estimate, and the tree weighting P_w = (P_e + product of the children's P_w) / 2 gives the share of each depth in the mixture.
 
 1. Counts of byte strings of length 6 come from all training texts: sorted in each task, summed by Spark. They grow with the corpus.
-2. The strings are grouped by the byte before the predicted one. Each group builds its part of the tree bottom-up as arrays; the root
-   joins the groups and sees at most 255 nodes of each.
-3. Nodes go into a table of 2^22 slots by hash, with a tag that detects strangers; of two nodes in one slot the one with more
-   counts stays. So the model that is broadcast has a fixed size, about 42 MB.
-4. A task scores each distinct string of its texts once.
+2. The strings are grouped by the two bytes before the predicted one. Each group builds its part of the tree bottom-up as arrays and
+   mixes depth 5 to 2 for each of its strings. Above that a byte joins its groups and the root the bytes: 65,792 nodes at most.
+3. So every string of the corpus is scored once, with all nodes of the tree. The scores of the most frequent strings (at most
+   `top_strings`) travel to the texts, all others meet their documents in a join.
 
 The base figures are exact. Word counts are summed by Spark; the most frequent words (at most 200,000) travel with the model, all
 others meet their documents in a join.
 
 Cases: a null or empty text is the end token alone. Repeated rows are scored each. Without training rows every count is 0 and each
-bit has probability 1/2. Invalid ids count as the text of the id, null as the empty text.
+bit has probability 1/2 in the tree. Invalid ids count as the text of the id, null as the empty text.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textkg.llm.common import byte_slices, fold, lower_words
-from textkg.session import cut_lineage
+from textkg.session import cut_lineage, release
 
 DEPTH = 5
-SLOT_BITS = 22
-_BLOCK_BITS = 6
 _CHUNK = 2 << 20
 _COUNTED = 16 << 20
 TOP_WORDS = 200_000
+TOP_STRINGS = 1 << 21
 
 
 def _streams(texts: list[str], chunk: int = _CHUNK) -> Iterator[tuple[np.ndarray, list[int], list[list[bytes]]]]:
@@ -105,44 +103,24 @@ def _decisions(symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
     return nodes, total - one, one
 
 
-def _hash(depth: int, nodes: np.ndarray) -> np.ndarray:
-    h = (nodes.astype(np.uint64) + np.uint64(depth * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(29))
-
-
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def _tag(h: np.ndarray) -> np.ndarray:
-    return ((h & np.uint64(0x7FFF)) + np.uint64(1)).astype(np.uint16)
-
-
-# A node in a table row: slot, tag, total count, probability of a one, own share in the mixture.
-_NODE = np.dtype([("slot", "<u4"), ("tag", "<u2"), ("n", "<f8"), ("p", "<f4"), ("w", "<f4")])
-
-
-def _packed(depth: int, nodes: np.ndarray, n0: np.ndarray, n1: np.ndarray, share: np.ndarray) -> np.ndarray:
-    h = _hash(depth, nodes)
-    out = np.zeros(len(nodes), _NODE)
-    out["slot"], out["tag"], out["n"] = _slot(h), _tag(h), n0 + n1
-    out["p"], out["w"] = (n1 + 0.5) / (n0 + n1 + 1), share
-    return out
-
-
-def _winners(rows: np.ndarray) -> np.ndarray:
-    """One node per slot: most counts, then the largest tag."""
-    rows = rows[np.lexsort((rows["tag"], rows["n"], rows["slot"]))]
-    return rows[np.append(rows["slot"][1:] != rows["slot"][:-1], True)] if len(rows) else rows
+def _joined(place: np.ndarray, n0: np.ndarray, n1: np.ndarray, log_w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One node from its children: place, zeros, ones, log P_w, probability of a one, own share in the mixture."""
+    place, n0, n1, below = _sum_by(place, n0, n1, log_w)
+    own = _log_kt(n0, n1)
+    share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
+    return place, n0, n1, np.logaddexp(own, below) - np.log(2), (n1 + 0.5) / (n0 + n1 + 1), share
 
 
 def grow_branch(strings: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    """The tree above one last byte: packed nodes of depth 1 to 5, and (place, zeros, ones, log P_w) of depth 1."""
-    packed, deeper = [], None
-    for depth in range(DEPTH, 0, -1):
-        symbols, n = _sum_by((strings >> (48 - 8 * depth) << 8) | (strings & 255), counts)
+    """The tree above the two last bytes, grown from strings with counts: for each string the chance of a one at each of its 8
+    decisions as depth 5 to 2 mix it (nan: no such node), and (place, zeros, ones, log P_w) of depth 2."""
+    byte, learnt = strings & 255, counts > 0
+    places = [(1 << level) | (byte >> (8 - level)) for level in range(8)]
+    mixed = np.full((len(strings), 8), np.nan)
+    deeper = None
+    for depth in range(DEPTH, 1, -1):
+        context = strings >> (48 - 8 * depth) << 8
+        symbols, n = _sum_by((context | byte)[learnt], counts[learnt])
         nodes, n0, n1 = _decisions(symbols, n)
         own = _log_kt(n0, n1)
         if deeper is None:
@@ -152,158 +130,119 @@ def grow_branch(strings: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, tu
             below = np.bincount(np.searchsorted(nodes, parent), weights=deeper[1], minlength=len(nodes))
             log_w = np.logaddexp(own, below) - np.log(2)
             share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
-        packed.append(_packed(depth, nodes, n0, n1, share))
+        if not len(nodes):
+            break
+        p = (n1 + 0.5) / (n0 + n1 + 1)
+        for level, place in enumerate(places):
+            at = np.minimum(np.searchsorted(nodes, context | place), len(nodes) - 1)
+            _mix(mixed[:, level], nodes[at] == (context | place), p[at], share[at])
         deeper = (nodes, log_w)
-    return _winners(np.concatenate(packed)), (nodes & 255, n0, n1, log_w)
+    return mixed, (nodes & 255, n0, n1, log_w)
+
 
+def _mix(mixed: np.ndarray, known: np.ndarray, p: np.ndarray, share: np.ndarray) -> None:
+    """Weight a node into what lies above it in the tree, in place; where nothing deeper is known, its estimate stands alone."""
+    own = np.where(np.isnan(mixed), p, share * p + (1 - share) * mixed)
+    np.copyto(mixed, own, where=known)
 
-def gather_strings(docs: DataFrame, text_col: str) -> DataFrame:
-    """(last, string, n): how often each byte string occurs in the texts."""
+
+def gather_strings(docs: DataFrame, text_col: str, learnt: Column | None = None) -> DataFrame:
+    """(last, string, n, seen): how often each byte string occurs in the texts to learn from (all, unless said) and in all texts.
+    `last` are the two bytes before the predicted one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in byte_slices(whole, 0, 2 * _CHUNK)):
-            for stream, sizes, _ in _streams([t or "" for t in batch.column(0).to_pylist()], 2 * _CHUNK):
-                found = np.sort(_strings(stream, sizes))
-                heads = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
-                n = np.diff(np.append(heads, len(found)))
-                for a in range(0, len(heads), 1 << 16):  # batches stay small in the JVM
-                    part = found[heads[a : a + (1 << 16)]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((part >> 40).astype(np.int32)), pa.array(part), pa.array(n[a : a + (1 << 16)])],
-                        names=["last", "string", "n"],
-                    )
+            for flag in (True, False):
+                texts = batch.column(0).filter(pc.equal(batch.column(1), flag)).to_pylist()
+                for stream, sizes, _ in _streams([t or "" for t in texts], 2 * _CHUNK):
+                    found = np.sort(_strings(stream, sizes))
+                    heads = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+                    seen = np.diff(np.append(heads, len(found)))
+                    for a in range(0, len(heads), 1 << 16):  # batches stay small in the JVM
+                        part, k = found[heads[a : a + (1 << 16)]], seen[a : a + (1 << 16)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array((part >> 32).astype(np.int32)), pa.array(part), pa.array(k * flag), pa.array(k)],
+                            names=["last", "string", "n", "seen"],
+                        )
+
+    rows = docs.select(text_col, (F.lit(True) if learnt is None else learnt).alias("learnt"))
+    return (
+        rows.mapInArrow(run, "last int, string long, n long, seen long")
+        .groupBy("last", "string").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    )
+
 
-    rows = docs.select(text_col).mapInArrow(run, "last int, string long, n long")
-    return rows.groupBy("last", "string").agg(F.sum("n").alias("n"))
+def train(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The model: the counts of all byte strings of the texts, written once."""
+    return cut_lineage(gather_strings(docs, text_col))
 
 
-def train(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray]:
-    """The model as arrays of 2^22 slots."""
+def score_strings(counts: DataFrame) -> DataFrame:
+    """(string, seen, value): log10 of the probability of the last byte of each string after the bytes before it, under the tree of
+    all rows (last, string, n, seen). Rows with n = 0 are scored only."""
 
     def branch(table: pa.Table) -> pa.Table:
-        nodes, top = grow_branch(table["string"].to_numpy(), table["n"].to_numpy().astype(float))
-        blocks = nodes["slot"] >> (SLOT_BITS - _BLOCK_BITS)
-        cuts = np.searchsorted(blocks, np.arange((1 << _BLOCK_BITS) + 1))
-        rows = [(b, nodes[a:z].tobytes()) for b, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
-        rows.append((-1, np.array(top, float).tobytes()))
-        return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), "data": pa.array([r[1] for r in rows], pa.binary())})
-
-    def block(table: pa.Table) -> pa.Table:
-        key, data = table["block"][0].as_py(), table["data"].to_pylist()
-        if key >= 0:
-            data = [_winners(np.concatenate([np.frombuffer(d, _NODE) for d in data])).tobytes()]
-        return pa.table({"block": pa.array([key] * len(data), pa.int32()), "data": pa.array(data, pa.binary())})
-
-    schema = "block int, data binary"
-    branches = gather_strings(docs, text_col).groupBy("last").applyInArrow(branch, schema)
-    # probability and share lie side by side, as they are read together
-    model = {"tag": np.zeros(1 << SLOT_BITS, np.uint16), "pw": np.zeros((1 << SLOT_BITS, 2), np.float32)}
-
-    def put(nodes: np.ndarray) -> None:
-        model["tag"][nodes["slot"]] = nodes["tag"]
-        model["pw"][nodes["slot"], 0], model["pw"][nodes["slot"], 1] = nodes["p"], nodes["w"]
-
-    tops = []
-    for row in branches.groupBy("block").applyInArrow(block, schema).toLocalIterator():  # at most 64 blocks of fixed size, 256 tops
-        if row["block"] < 0:
-            tops.append(np.frombuffer(row["data"], float).reshape(4, -1))
-        else:
-            put(np.frombuffer(row["data"], _NODE))
-    if tops:
-        place, n0, n1, log_w = np.concatenate(tops, axis=1)
-        nodes, n0, n1, below = _sum_by(place.astype(np.int64), n0, n1, log_w)
-        share = 1 / (1 + np.exp(np.clip(below - _log_kt(n0, n1), -700, 700)))
-        put(_packed(0, nodes, n0, n1, share))
-    return model
-
-
-_SCORED = 1 << 17
-_REMEMBERED = 1 << 21
-
-
-def _look_up(model: dict[str, np.ndarray], depth: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which nodes the model has, and (probability, share) of those."""
-    h = _hash(depth, nodes)
-    slot = _slot(h)
-    hit = np.flatnonzero(model["tag"][slot] == _tag(h))
-    return hit, model["pw"][slot[hit]].astype(float)
-
-
-def _upper(model: dict[str, np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """All nodes of depth 0 or 1 as a table by (last byte, place in the binary tree): known, and (probability, share)."""
-    nodes = np.arange(256 << (8 * depth), dtype=np.int64)
-    known, pw = np.zeros(len(nodes), bool), np.zeros((len(nodes), 2))
-    hit, found = _look_up(model, depth, nodes)
-    known[hit], pw[hit] = True, found
-    return known, pw
-
-
-class Scorer:
-    """log10 probabilities of strings under one model, which remembers up to `_REMEMBERED` of them between calls."""
-
-    def __init__(self, model: dict[str, np.ndarray]):
-        self.model = model
-        self.upper = [_upper(model, d) for d in (0, 1)]
-        self.seen, self.value = np.zeros(0, np.int64), np.zeros(0)
-
-    def of(self, strings: np.ndarray) -> np.ndarray:
-        """For sorted distinct strings: log10 of the probability of the last byte after the bytes before it."""
-        at = np.searchsorted(self.seen, strings)
-        at[at == len(self.seen)] = 0
-        old = self.seen[at] == strings if len(self.seen) else np.zeros(len(strings), bool)
-        out = np.zeros(len(strings))
-        out[old] = self.value[at[old]]
-        fresh = strings[~old]
-        scores = [self._block(fresh[a : a + _SCORED]) for a in range(0, len(fresh), _SCORED)]
-        if scores:
-            out[~old] = np.concatenate(scores)
-        room = _REMEMBERED - len(self.seen)
-        if room > 0 and len(fresh):
-            fresh, scored = fresh[:room], out[~old][:room]
-            place = np.searchsorted(self.seen, fresh)
-            self.seen, self.value = np.insert(self.seen, place, fresh), np.insert(self.value, place, scored)
-        return out
-
-    def _block(self, strings: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(strings))
-        byte = strings & 255
-        contexts = {d: strings >> (48 - 8 * d) << 8 for d in range(1, DEPTH + 1)}
-        for level in range(8):
-            place = (1 << level) | (byte >> (8 - level))
-            mixed = np.full(len(strings), 0.5, np.float64)
-            some = np.zeros(len(strings), bool)
-            for depth in range(DEPTH, -1, -1):
-                nodes = contexts[depth] | place if depth else place
-                if depth < len(self.upper):
-                    known, pw = self.upper[depth]
-                    hit = np.flatnonzero(known[nodes])
-                    p, w = pw[nodes[hit]].T
-                else:
-                    hit, pw = _look_up(self.model, depth, nodes)
-                    p, w = pw.T
-                # where nothing deeper is known, the estimate here stands alone
-                w = np.where(some[hit], w, 1.0)
-                mixed[hit] = w * p + (1 - w) * mixed[hit]
-                some[hit] = True
-            out += np.log10(np.where(byte >> (7 - level) & 1, mixed, 1 - mixed))
-        return out
-
-
-def log10_of_strings(model: dict[str, np.ndarray], strings: np.ndarray) -> np.ndarray:
-    """log10 of the probability of the last byte of each string after the bytes before it."""
+        table = table.sort_by("string")
+        strings = table["string"].to_numpy()
+        mixed, top = grow_branch(strings, table["n"].to_numpy().astype(float))
+        rows = len(strings)
+        chances = pa.Array.from_buffers(
+            pa.binary(), rows, [None, pa.py_buffer(np.arange(0, 64 * rows + 1, 64, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(mixed))]
+        )
+        above = pa.nulls(rows - 1, pa.binary()).to_pylist() + [np.array(top, float).tobytes()]  # the nodes of depth 2 go with the last string
+        return pa.table({"string": table["string"], "seen": table["seen"], "chances": chances, "top": pa.array(above, pa.binary())})
+
+    def joined(table: pa.Table) -> pa.Table:
+        tops = [np.frombuffer(d, float).reshape(4, -1) for d in table["top"].to_pylist()]
+        nodes = np.array(_joined(*np.concatenate(tops, axis=1)))
+        return pa.table({"last": pa.array([table["last"][0].as_py()], pa.int32()), "nodes": pa.array([nodes.tobytes()], pa.binary())})
+
+    spark = counts.sparkSession
+    parts = cut_lineage(counts.groupBy("last").applyInArrow(branch, "string long, seen long, chances binary, top binary"))
+    tops = parts.filter(F.col("top").isNotNull()).select(F.shiftright("string", 40).cast("int").alias("last"), "top")
+    upper = {d: (np.zeros(256 << (8 * d), bool), np.zeros(256 << (8 * d)), np.zeros(256 << (8 * d))) for d in (0, 1)}
+
+    def put(depth: int, nodes: np.ndarray, p: np.ndarray, share: np.ndarray) -> None:
+        for into, values in zip(upper[depth], (True, p, share)):
+            into[nodes.astype(np.int64)] = values
+
+    below = []
+    for row in tops.groupBy("last").applyInArrow(joined, "last int, nodes binary").collect():  # at most 256 rows of 255 nodes
+        place, n0, n1, log_w, p, share = np.frombuffer(row["nodes"], float).reshape(6, -1)
+        put(1, (row["last"] << 8) + place, p, share)
+        below.append((place, n0, n1, log_w))
+    if below:
+        place, _, _, _, p, share = _joined(*np.concatenate(below, axis=1))
+        put(0, place, p, share)
+    shared = spark.sparkContext.broadcast(upper)
+
+    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strings = batch.column(0).to_numpy()
+            mixed = np.frombuffer(b"".join(batch.column(2).to_pylist()), float).reshape(-1, 8).copy()
+            byte, value = strings & 255, np.zeros(len(strings))
+            for level in range(8):
+                place, chance = (1 << level) | (byte >> (8 - level)), mixed[:, level]
+                for depth, nodes in ((1, strings >> 40 << 8 | place), (0, place)):
+                    known, p, share = shared.value[depth]
+                    _mix(chance, known[nodes], p[nodes], share[nodes])
+                chance = np.where(np.isnan(chance), 0.5, chance)
+                value += np.log10(np.where(byte >> (7 - level) & 1, chance, 1 - chance))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(value)], names=["string", "seen", "value"])
+
+    scored = cut_lineage(parts.select("string", "seen", "chances").mapInArrow(finish, "string long, seen long, value double"))
+    release(parts)
+    return scored
+
+
+def log10_of_strings(model: DataFrame, strings: np.ndarray) -> np.ndarray:
+    """log10 of the probability of the last byte of each string after the bytes before it, for strings at hand."""
     distinct, place = np.unique(strings, return_inverse=True)
-    return Scorer(model).of(distinct)[place]
-
-
-# The scorer of the last model a worker process has met, by the id of its broadcast.
-_scorers: dict[int, Scorer] = {}
-
-
-def _scorer(key: int, model: dict[str, np.ndarray]) -> Scorer:
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model)
-    return _scorers[key]
+    asked = model.sparkSession.createDataFrame([(int(s) >> 32, int(s), 0, 1) for s in distinct], model.schema)
+    both = model.withColumn("seen", F.lit(0).cast("bigint")).unionByName(asked)
+    scored = score_strings(both.groupBy("last", "string").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")))
+    value = dict(scored.filter("seen > 0").select("string", "value").collect())
+    return np.array([value[s] for s in distinct.tolist()])[place]
 
 
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -323,18 +262,36 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _frequent(counts: DataFrame, limit: int) -> dict[bytes, float]:
-    """log10(c + 1) of all words above the count that at most `limit` words exceed."""
+def _least(counts: DataFrame, c: str, limit: int) -> int | None:
+    """The smallest count that at most `limit` rows reach."""
     above, least = 0, None
-    for c, n in sorted(counts.groupBy("c").agg(F.count("*")).collect(), reverse=True):  # distinct counts: about the root of the corpus
+    for n_times, n in sorted(counts.groupBy(c).agg(F.count("*")).collect(), reverse=True):  # distinct counts: about the root of the corpus
         if above + n > limit:
             break
-        above, least = above + n, c
-    return {bytes(w): math.log10(c + 1.0) for w, c in counts.filter(F.col("c") >= least).collect()} if least else {}
+        above, least = above + n, n_times
+    return least
+
+
+def _frequent(counts: DataFrame, limit: int) -> dict[bytes, float]:
+    """log10(c + 1) of all words above the count that at most `limit` words exceed."""
+    least = _least(counts, "c", limit)
+    return {bytes(w): math.log10(c + 1.0) for w, c in counts.filter(F.col("c") >= least).toLocalIterator()} if least else {}
+
+
+def _frequent_strings(scored: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The strings seen most often, sorted, and their values; at most `limit`."""
+    least = _least(scored, "seen", limit)
+    if not least:
+        return np.zeros(0, np.int64), np.zeros(0)
+    table = scored.filter(F.col("seen") >= least).select("string", "value").toArrow()
+    strings, value = table["string"].to_numpy(), table["value"].to_numpy()
+    order = np.argsort(strings)
+    return strings[order], value[order]
 
 
 def score_documents(
-    docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", top_words: int = TOP_WORDS
+    docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", top_words: int = TOP_WORDS,
+    top_strings: int = TOP_STRINGS,
 ) -> DataFrame:
     """Scores of all documents by a model of those outside the held-out fold."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), (fold(F.col(id_col), folds) == held_out).alias("held_out"))
@@ -343,20 +300,26 @@ def score_documents(
     n_words, n_distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = training.count()
     total, distinct = n_words + ends, n_distinct + (ends > 0)
-    frequent = _frequent(counts, top_words)
-    shared = docs.sparkSession.sparkContext.broadcast((train(training, "text"), frequent))
-    model_id = uuid.uuid4().int
+    values = score_strings(gather_strings(rows, "text", ~F.col("held_out")))
+    shared = docs.sparkSession.sparkContext.broadcast((_frequent_strings(values, top_strings), _frequent(counts, top_words)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known_words = shared.value
-        scorer = _scorer(model_id, model)
+        (known_strings, known_values), known_words = shared.value
         part, nth = TaskContext.get().partitionId(), 0
         for batch in (piece for whole in batches for piece in byte_slices(whole, 1, _CHUNK)):
             at = 0
             for stream, sizes, words in _streams([t or "" for t in batch.column(1).to_pylist()]):
-                strings, inverse = np.unique(_strings(stream, sizes), return_inverse=True)
+                strings = _strings(stream, sizes)
+                distinct_here, inverse = np.unique(strings, return_inverse=True)
+                place = np.searchsorted(known_strings, distinct_here)
+                place[place == len(known_strings)] = 0
+                hit = known_strings[place] == distinct_here if len(known_strings) else np.zeros(len(distinct_here), bool)
+                value = np.zeros(len(distinct_here))
+                value[hit] = known_values[place[hit]]
                 begins = np.cumsum(sizes) - sizes
-                scores = np.add.reduceat(scorer.of(strings)[inverse], begins)
+                scores = np.add.reduceat(value[inverse], begins)
+                missed = np.flatnonzero(~hit[inverse])
+                strings_at = np.searchsorted(missed, np.append(begins, len(strings))).astype(np.int32)
                 known, log_sum, rest, rest_counts, ends_at = [], [], [], [], [0]
                 for w in words:
                     logs = list(map(known_words.get, w))
@@ -375,8 +338,9 @@ def score_documents(
                         batch.column(0).slice(at, n), batch.column(2).slice(at, n),
                         pa.array([len(w) + 1 for w in words], pa.int64()), pa.array(known, pa.int64()), pa.array(log_sum, pa.float64()),
                         pa.array(scores, pa.float64()), pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), others),
+                        pa.ListArray.from_arrays(pa.array(strings_at), pa.array(strings[missed])),
                     ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "known", "log_sum", "score", "rest"],
+                    names=["row", "doc_id", "held_out", "n_tokens", "known", "log_sum", "found", "rest", "rare"],
                 )
                 at, nth = at + n, nth + n
 
@@ -384,16 +348,19 @@ def score_documents(
     scored = cut_lineage(
         rows.select("doc_id", "text", "held_out").mapInArrow(
             run,
-            f"row long, doc_id {id_type}, held_out boolean, n_tokens long, known long, log_sum double, score double, "
-            "rest array<struct<word: binary, k: long>>",
+            f"row long, doc_id {id_type}, held_out boolean, n_tokens long, known long, log_sum double, found double, "
+            "rest array<struct<word: binary, k: long>>, rare array<long>",
         )
     )
-    rare = scored.select("row", F.explode("rest").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.k").alias("k"))
-    met = rare.join(counts, "word").groupBy("row").agg(
+    rest = scored.select("row", F.explode("rest").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.k").alias("k"))
+    met = rest.join(counts, "word").groupBy("row").agg(
         F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("c") + 1.0)).alias("more_log")
     )
+    rare = scored.select("row", F.explode("rare").alias("string"))
+    spelled = rare.join(values.select("string", "value"), "string").groupBy("row").agg(F.sum("value").alias("more_tree"))
     base = F.col("log_sum") + F.coalesce("more_log", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))
-    return scored.drop("rest").join(met, "row", "left").select(
+    tree = F.col("found") + F.coalesce("more_tree", F.lit(0.0))
+    return scored.drop("rest", "rare").join(met, "row", "left").join(spelled, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score",
+        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), tree.alias("score"),
     )
