@@ -10,6 +10,9 @@ estimate, and the tree weighting P_w = (P_e + product of the children's P_w) / 2
 3. So every string of the corpus is scored once, with all nodes of the tree. The scores of the most frequent strings (at most
    `top_strings`) travel to the texts, all others meet their documents in a join.
 
+The tree spells out words it has never met, where the base counts all of them as one. `score` weights both as the tree weights its nodes:
+P = (P_base + P_tree) / 2 of the whole text, so it lies at most log10(2) below the better of the two. `tree_score` is the tree alone.
+
 The base figures are exact. Word counts are summed by Spark; the most frequent words (at most 200,000) travel with the model, all
 others meet their documents in a join.
 
@@ -360,7 +363,11 @@ def score_documents(
     spelled = rare.join(values.select("string", "value"), "string").groupBy("row").agg(F.sum("value").alias("more_tree"))
     base = F.col("log_sum") + F.coalesce("more_log", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))
     tree = F.col("found") + F.coalesce("more_tree", F.lit(0.0))
+    better, gap = F.greatest("base_score", "tree_score"), F.abs(F.col("base_score") - F.col("tree_score"))
     return scored.drop("rest", "rare").join(met, "row", "left").join(spelled, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), tree.alias("score"),
+        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), tree.alias("tree_score"),
+    ).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score",
+        (better + F.log10((F.pow(F.lit(10.0), -gap) + 1.0) / 2.0)).alias("score"), "tree_score",
     )
