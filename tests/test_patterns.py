@@ -7,7 +7,7 @@ import random
 import pytest
 from conftest import rows
 
-from textkg.operators.patterns import join_tree, reduce_patterns, solutions, variables
+from textkg.operators.patterns import join_core, join_tree, reduce_patterns, solutions, variables
 
 KG = "s string, p string, o string"
 
@@ -98,3 +98,19 @@ def test_tree_starts_with_the_smallest_leaf():
     sets = [{"a", "b"}, {"b", "c"}, {"c", "d"}]
     assert join_tree(sets, [5, 9, 2]) == ([(2, 1), (0, 1)], [1])
     assert join_tree([{"a", "b"}, {"b", "c"}, {"c", "a"}], [3, 2, 1]) == ([], [2, 1, 0])
+
+
+def test_a_cycle_is_joined_along_its_keys(spark):
+    """Customers and suppliers of one place meet through their orders, not each with each."""
+    n = 200
+    home = [spark.createDataFrame([(f"{c}{i}", "here") for i in range(n)], f"{c} string, n string") for c in "cs"]
+    orders = [(f"q{i}", f"c{i % n}") for i in range(2 * n)]
+    deals = [(f"q{i}", f"s{i * 7 % n}") for i in range(2 * n)]
+    tables = [*home, spark.createDataFrame(orders, "q string, c string"), spark.createDataFrame(deals, "q string, s string")]
+    out, sizes = join_core(tables)
+    assert out.count() == 2 * n and max(sizes) <= 2 * n
+    kg = [(c, "inNation", p) for t in home for c, p in rows(t)] + [(q, "placedBy", c) for q, c in orders] + [(q, "by", s) for q, s in deals]
+    found = solutions(
+        spark.createDataFrame(kg, KG), [("?q", "placedBy", "?c"), ("?c", "inNation", "?n"), ("?q", "by", "?s"), ("?s", "inNation", "?n")], ["q", "s"]
+    )
+    assert rows(found) == sorted(deals)

@@ -5,7 +5,8 @@ is taken away as a leaf of that one, the smallest first by measured counts. Semi
 in every pattern only rows that take part in a solution, so no join makes rows that a later one drops. The joins run up the tree, and each
 leaf hands over only the columns that are wanted or shared: a branch without wanted variables is never joined at all.
 
-What is left of a cyclic set of patterns is reduced pairwise, the larger by the smaller, and joined as it is.
+What is left of a cyclic set of patterns is reduced pairwise, the larger by the smaller, and joined step by step, each time by the join that has
+the fewest rows as counted beforehand.
 
 Cases: patterns that share no variable with the rest are refused, as their result would be a product. A pattern of constants only
 tests whether it holds. Null never equals anything, so it meets no other pattern and no constant. Repeated facts count once.
@@ -125,15 +126,43 @@ def solutions(
         new = [c for c in own if c not in above and c in wanted]
         if new:  # else the semi-joins have said all
             rows[parent] = rows[parent].join(rows[leaf].select(*shared, *new).distinct(), shared)
-    first, *left = found.core
-    out = rows[first]
-    while left:
-        following = next(i for i in left if set(rows[i].columns) & set(out.columns))
-        left.remove(following)
-        out = out.join(rows[following], [c for c in rows[following].columns if c in out.columns])
+    out, _ = join_core([rows[i] for i in found.core])
     return out.select(*wanted).distinct()
 
 
+def _met(left: DataFrame, right: DataFrame) -> float:
+    """How many rows the join on all shared columns has, from the rows of each key."""
+    shared = [c for c in left.columns if c in right.columns]
+    per_key = [t.groupBy(*shared).agg(F.count("*").cast("double").alias(name)) for t, name in ((left, "__left"), (right, "__right"))]
+    return per_key[0].join(per_key[1], shared).agg(F.sum(F.col("__left") * F.col("__right"))).first()[0] or 0.0
+
+
+def join_core(tables: Sequence[DataFrame]) -> tuple[DataFrame, list[float]]:
+    """The join of tables on all columns they share, and the rows of each step that was measured.
+
+    Each step takes the pair, then the table, whose join has the fewest rows: two small tables that meet in a column of few values would else give
+    their product. The last table needs no choice. Steps before it are written.
+    """
+    out, left, sizes = tables[0], list(tables[1:]), []
+    while left:
+        near = [(None, t) for t in left if set(t.columns) & set(out.columns)]
+        if not sizes and len(left) > 1:
+            near = [(a, b) for i, a in enumerate(tables) for b in tables[i + 1 :] if set(a.columns) & set(b.columns)]
+        if len(left) > 1:
+            measured = [_met(out if a is None else a, b) for a, b in near]
+            sizes.append(min(measured))
+            first, following = near[measured.index(sizes[-1])]
+            if first is not None:
+                out, left = first, [t for t in tables if t is not first]
+        else:
+            following = near[0][1]
+        left = [t for t in left if t is not following]
+        out = out.join(following, [c for c in following.columns if c in out.columns])
+        if left:
+            out = cut_lineage(out)
+    return out, sizes
+
+
 def reduction_report(found: Reduced, patterns: Sequence[Pattern]) -> DataFrame:
     """(pattern, n_rows, n_kept) of each pattern: facts it meets, and distinct ones that solutions use."""
     parts = [
