@@ -117,6 +117,20 @@ def located_sentences(masked: Column) -> Column:
     return let(masked, of).cast(_PLACED)
 
 
+def with_sources(text: Column, masked: Column) -> Column:
+    """array<struct<text,start,source>>: `located_sentences` of a masked text, each with what stands there in its source.
+
+    Places inside a sentence are then looked up in a short string; a look-up in the text would walk all that comes before it.
+    """
+    return F.transform(
+        located_sentences(masked),
+        lambda s: F.struct(
+            s["text"].alias("text"), s["start"].alias("start"),
+            F.substring(text, s["start"] + 1, F.length(s["text"])).alias("source"),
+        ),
+    )
+
+
 def located_tokens(masked: Column, start: Column) -> Column:
     """array<struct<text,start>>: letter and digit runs of a masked sentence that stands at `start`, still masked."""
 

@@ -58,15 +58,17 @@ triples AS (SELECT * FROM nx WHERE k = 'N' AND k1 = 'V' AND k2 = 'N')"""
 
 
 def placed_sentences(spark, sf):
-    """(doc_id, text, sent_no, sentence, start) of the cleaned texts, still masked."""
+    """(doc_id, source, sent_no, sentence, start) of the cleaned texts, still masked; `source` is the sentence before cleanup."""
     masked = once(v.corpus(spark, sf).select("doc_id", "text"), "masked", of.mask_clean(F.col("text")))
-    return masked.select("doc_id", "text", F.posexplode(of.located_sentences(F.col("masked"))).alias("sent_no", "s")).select(
-        "doc_id", "text", "sent_no", F.col("s.text").alias("sentence"), F.col("s.start").alias("start")
+    placed = of.with_sources(F.col("text"), F.col("masked"))
+    return masked.select("doc_id", F.posexplode(placed).alias("sent_no", "s")).select(
+        "doc_id", F.col("s.source").alias("source"), "sent_no", F.col("s.text").alias("sentence"), F.col("s.start").alias("start")
     )
 
 
 def _mention(start: str, length: str):
-    return F.substring("text", F.col(start) + 1, F.col(length))
+    """The mention, looked up in the source of its sentence: in the whole text each look-up would walk all that comes before."""
+    return F.substring("source", F.col(start) - F.col("sent_start") + 1, F.col(length))
 
 
 @query(
@@ -78,7 +80,10 @@ def _mention(start: str, length: str):
 def chain_lemmas(spark, sf):
     return (
         placed_sentences(spark, sf)
-        .select("doc_id", "text", "sent_no", F.inline(of.located_lemmas(F.col("sentence"), F.col("start"), mark=False)))
+        .select(
+            "doc_id", "source", "sent_no", F.col("start").alias("sent_start"),
+            F.inline(of.located_lemmas(F.col("sentence"), F.col("start"), mark=False)),
+        )
         .select("doc_id", "sent_no", "lemma", "pos", "start", "length", _mention("start", "length").alias("mention"))
     )
 
@@ -111,7 +116,7 @@ _TRIPLE_SQL = ", ".join(
 )
 def chain_triples(spark, sf):
     found = placed_sentences(spark, sf).select(
-        "doc_id", "text", "sent_no",
+        "doc_id", "source", "sent_no", F.col("start").alias("sent_start"),
         F.inline(of.located_triples(of.located_lemmas(F.col("sentence"), F.col("start"), mark=False))),
     )
     parts = ("subject", "predicate", "object")
