@@ -32,7 +32,7 @@ SENTENCE_BREAK = rf"[.!?](?:{_G}[.!?])*{_G}\s(?:{_G}\s)*|\n(?:{_G}\n)*"
 TOKEN = rf"[\p{{L}}\p{{N}}](?:{_G}[\p{{L}}\p{{N}}])*"
 MARK = "."
 
-_SUM_BLOCK = 256
+_SUM_BLOCK = 256  # a power of two
 _PLACED = "array<struct<text:string,start:int>>"
 _LEMMAS = "array<struct<lemma:string,pos:string,start:int,length:int>>"
 _TRIPLES = (
@@ -84,6 +84,9 @@ def running_sums(numbers: Column) -> Column:
     def total(part: Column) -> Column:
         return F.aggregate(part, F.lit(0), lambda a, x: a + x)
 
+    def block(i: Column) -> Column:
+        return F.call_function("shiftright", i, F.lit(_SUM_BLOCK.bit_length() - 1))
+
     def of(n: Column) -> Column:
         # sums before each block of _SUM_BLOCK numbers, then the rest inside the block
         blocks = F.transform(
@@ -94,8 +97,7 @@ def running_sums(numbers: Column) -> Column:
             let(blocks, lambda s: F.transform(s, lambda x, b: total(F.slice(s, F.lit(1), b)))),
             lambda before: F.transform(
                 n,
-                lambda x, i: F.get(before, F.floor(i / _SUM_BLOCK).cast("int"))
-                + total(F.slice(n, F.floor(i / _SUM_BLOCK).cast("int") * _SUM_BLOCK + 1, i % _SUM_BLOCK)),
+                lambda x, i: F.get(before, block(i)) + total(F.slice(n, block(i) * _SUM_BLOCK + 1, i % _SUM_BLOCK)),
             ),
         )
 
@@ -152,16 +154,24 @@ def located_lemmas(masked: Column, start: Column, mark: bool = True) -> Column:
     Lemmas of one letter are dropped. With `mark` the sentence ends with (".", "") of length 0 at its end.
     """
 
+    # step by step, so that no word is folded and no lemma formed again for each of its uses
+    def folded(token: Column) -> Column:
+        return F.struct(
+            F.lower(unmask(token["text"])).alias("word"), token["start"].alias("start"), F.length(token["text"]).alias("length")
+        )
+
+    def tagged(token: Column) -> Column:
+        return F.struct(
+            lemma(token["word"]).alias("lemma"), pos_tag(token["word"]).alias("pos"), token["start"].alias("start"), token["length"].alias("length")
+        )
+
     def of(token: Column) -> Column:
-        word = F.lower(unmask(token["text"]))
         return F.struct(
-            normalize_term(lemma(word)).alias("lemma"),
-            pos_tag(word).alias("pos"),
-            token["start"].alias("start"),
-            F.length(token["text"]).alias("length"),
+            normalize_term(token["lemma"]).alias("lemma"), token["pos"].alias("pos"), token["start"].alias("start"), token["length"].alias("length")
         )
 
-    found = F.filter(F.transform(located_tokens(masked, start), of), lambda p: F.length(p["lemma"]) > 1)
+    words = F.transform(F.transform(located_tokens(masked, start), folded), tagged)
+    found = F.filter(F.transform(words, of), lambda p: F.length(p["lemma"]) > 1)
     if not mark:
         return found.cast(_LEMMAS)
     end = F.struct(
