@@ -58,11 +58,15 @@ def _grams(raw: bytes) -> list[np.ndarray]:
     return out
 
 
-def presence(texts: list[bytes]) -> list[np.ndarray]:
-    """Per length, a matrix with a row per text: 1 where an n-gram occurs, divided by the length of the row."""
-    blocks = [np.zeros((len(texts), size), np.float32) for size in SIZES]
+def presence(texts: list[bytes], only: int | None = None) -> list[np.ndarray]:
+    """Per length, a matrix with a row per text: 1 where an n-gram occurs, divided by the length of the row.
+
+    `only` picks one length by its place.
+    """
+    chosen = slice(None) if only is None else slice(only, only + 1)
+    blocks = [np.zeros((len(texts), size), np.float32) for size in SIZES[chosen]]
     for i, raw in enumerate(texts):
-        for block, at in zip(blocks, _grams(raw)):
+        for block, at in zip(blocks, _grams(raw)[chosen]):
             block[i, at] = 1
     for block in blocks:
         block /= np.maximum(np.sqrt(block.sum(axis=1, keepdims=True)), 1)
@@ -73,6 +77,25 @@ def kernel(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return sum(x @ y.T for x, y in zip(a, b)) / len(LENGTHS)
 
 
+def kernel_with_bits(texts: list[bytes], packed: list[bytes]) -> np.ndarray:
+    """`kernel` of texts and landmarks given as bits, which are unpacked a length at a time.
+
+    All lengths at once, and copies of them, would take some hundred MB in every worker.
+    """
+    bits = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+    total, begin = np.zeros((len(texts), len(packed)), np.float32), 0
+    for n, size in enumerate(SIZES):
+        marks = np.empty((len(packed), size), np.float32)
+        for a in range(0, len(packed), _BATCH):
+            part = marks[a : a + _BATCH]
+            part[:] = np.unpackbits(bits[a : a + _BATCH, begin // 8 : (begin + size) // 8], axis=1)
+            part /= np.maximum(np.sqrt(part.sum(axis=1, keepdims=True)), 1)
+        total += presence(texts, n)[0] @ marks.T
+        del marks, part  # before the next length takes its own
+        begin += size
+    return total / len(LENGTHS)
+
+
 def labelled_sample(docs: DataFrame, folds: int, held_out: int, per_language: int, landmarks: int) -> DataFrame:
     """(doc_id, lang, landmark): a bounded sample of each language outside the held-out fold."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
@@ -104,12 +127,10 @@ def train(docs: DataFrame, sample: DataFrame, ridge: float = RIDGE) -> tuple[lis
     shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def against(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.unpackbits(np.frombuffer(b"".join(shared.value), np.uint8).reshape(len(shared.value), -1), axis=1).astype(np.float32)
-        own = [m / np.maximum(np.sqrt(m.sum(axis=1, keepdims=True)), 1) for m in np.split(own, np.cumsum(SIZES)[:-1], axis=1)]
         for batch in batches:
             for a in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(a, _BATCH)
-                k = kernel(presence([letters_of(t) for t in part.column(0).to_pylist()]), own)
+                k = kernel_with_bits([letters_of(t) for t in part.column(0).to_pylist()], shared.value)
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(list(k), pa.list_(pa.float32()))], names=["lang", "k"])
 
     seen = rows.select("text", "lang").mapInArrow(against, "lang string, k array<float>").collect()
