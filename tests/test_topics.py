@@ -134,3 +134,29 @@ def test_a_table_that_failed_is_not_kept(spark, tmp_path):
         with pytest.raises(Exception, match="stopped"):
             kept_table(spark, f"failing-{tmp_path.name}", [], {}, attempt)
     assert kept_table(spark, f"failing-{tmp_path.name}", [], {}, lambda: spark.range(2)).count() == 2
+
+
+def test_counts_stay_in_their_blocks(spark, counts, monkeypatch):
+    monkeypatch.setattr(tp, "PIECE_COUNTS", 3)  # several pieces a block
+    terms = tp.vocabulary(counts)
+    found = tp.count_rows(counts, terms)
+    twice = found.unionByName(found.where("id < 4")).unionByName(spark.createDataFrame([(0, 999, 5), (77, 999, 1)], found.schema))
+    blocks = tp._Blocks(twice, 2)
+    blocks.hold()
+    weights = terms.select(F.lit("t").alias("kind"), "id", F.lit(1.0).alias("g0"), F.lit(3.0).alias("g1"))
+    state = blocks.gather(blocks.shares(blocks.load(weights), None, 1.0, 1.0))
+    again = blocks.gather(blocks.shares(state, terms.count(), 2.0, 2.0))
+    plan = again._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    # neither the counts nor the lists of terms are dealt again in a round; only packed weights move
+    moved = [line for line in plan.split("InMemoryRelation")[0].splitlines() if "Exchange" in line]
+    assert "FlatMapCoGroupsInArrow" in plan and not any("slots" in line or "ids" in line for line in moved)
+    got = {(r.kind, r.id): (r.g0 + r.g1, r.g0 / r.g1) for r in blocks.unload(state).collect()}
+    total = Counter()
+    for r in twice.where("id <> 999").collect():
+        total["t", r.id] += r.n
+        total["d", r.doc_id] += r.n
+    # terms without weights (999) count nowhere, and a document of such terms alone has none
+    assert got == {key: (pytest.approx(n), pytest.approx(1 / 3)) for key, n in total.items()}
+    assert {(r.kind, r.id): r.g0 + r.g1 for r in blocks.unload(again).collect()} == {key: pytest.approx(n) for key, n in total.items()}
+    for table in (blocks.packed, blocks.lists):
+        table.unpersist()
