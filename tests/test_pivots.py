@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from conftest import rows
+from pyspark.sql import functions as F
 
-from textkg.operators.pivots import Cells, met_blocks, pruned_top_k
+from textkg.operators.pivots import Cells, _above_bound, met_blocks, pruned_top_k
 
 SCHEMA = "id long, vector array<double>"
 
@@ -56,3 +58,24 @@ def test_empty_and_single(spark):
     one = frame(spark, [[1, 2]])
     assert rows(pruned_top_k(one, one, 2)) == []
     assert rows(pruned_top_k(one, empty, 2)) == []
+
+
+def test_single_precision_vectors_stay_so_until_they_meet(spark):
+    rng = np.random.default_rng(5)
+    vectors = [x.astype(np.float32) for x in rng.normal(size=(60, 8))]
+    df = frame(spark, vectors).select("id", F.col("vector").cast("array<float>").alias("vector"))
+    cells = Cells(df, pivots=7, block_rows=8)
+    assert cells.rows.schema["vector"].dataType.simpleString() == "array<float>"
+    assert met_blocks(df, cells, 3).schema["vector"].dataType.simpleString() == "array<float>"
+    for queries in (df, frame(spark, vectors)):
+        got = rows(pruned_top_k(queries, df, 3, pivots=7, block_rows=8).select("id", "neighbour", "similarity", "rank"))
+        same(sorted(got, key=lambda r: (r[0], r[3])), sorted(brute(vectors, 3), key=lambda r: (r[0], r[3])))
+
+
+def test_blocks_hand_on_only_what_reaches_the_bound(spark):
+    left = pd.DataFrame({"id": [1, 2, 3], "vector": [[1.0, 0.0]] * 3, "bound": [0.9, -1.0, None]})
+    right = pd.DataFrame({"id": [7, 8, 9], "vector": [[1.0, 0.0], [9.0, 4.3588989], [0.0, 1.0]]})
+    found = _above_bound(2)(left, right)
+    assert list(zip(found["id"], found["neighbour"])) == [(1, 7), (1, 8), (2, 7), (2, 8), (3, 7), (3, 8)]
+    found = _above_bound(2)(left.assign(bound=[0.9001, 0.95, 1.0]), right)
+    assert list(zip(found["id"], found["neighbour"])) == [(1, 7), (2, 7), (3, 7)]

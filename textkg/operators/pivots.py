@@ -4,7 +4,7 @@ Candidates belong to the nearest of a bounded number of pivots, and each cell kn
 the cosine, so by the triangle inequality no member of a cell is nearer to a query than its pivot's distance less the radius.
 
 1. Each query meets blocks of the cells next to it that hold more than k vectors, which gives a lower bound on its k-th similarity.
-2. It then meets only the cells that this bound doesn't rule out, block by block, in tasks of two bounded blocks.
+2. It then meets only the cells that this bound doesn't rule out, block by block, in tasks of two bounded blocks, which hand on what reaches the bound.
 
 Work falls with the structure in the vectors; without any, all cells are met, as `cosine_top_k` does. Cells are cut into blocks by hash, and
 queries of a block into parts, so neither a large cell nor many queries of one make a large task.
@@ -38,7 +38,10 @@ def _distances(vectors: pd.Series, pivots: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    return df.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).select("id", F.col("vector").cast("array<double>").alias("vector"))
+    """Single-precision vectors are written and shuffled as they are, and widened where they meet."""
+    kind = df.schema["vector"].dataType.simpleString()
+    vector = F.col("vector") if kind == "array<float>" else F.col("vector").cast("array<double>")
+    return df.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).select("id", vector.alias("vector"))
 
 
 class Cells:
@@ -62,7 +65,8 @@ class Cells:
                 nearest = d.argmin(axis=1)
                 yield part.assign(cell=np.where(zero, ZEROS, nearest), distance=np.where(zero, 0.0, d[np.arange(len(d)), nearest]))
 
-        placed = cut_lineage(plain.mapInPandas(place, f"id {self.id_type}, vector array<double>, cell int, distance double"))
+        kind = plain.schema["vector"].dataType.simpleString()
+        placed = cut_lineage(plain.mapInPandas(place, f"id {self.id_type}, vector {kind}, cell int, distance double"))
         self.known = {r[0]: (r[1], r[2]) for r in placed.groupBy("cell").agg(F.count("*"), F.max("distance")).collect()}  # one row a cell
         n_cells = len(own)
         self.sizes = np.array([self.known.get(c, (0, 0.0))[0] for c in range(n_cells)], np.int64)
@@ -88,7 +92,7 @@ class Cells:
 
 
 def _dealt(queries: DataFrame, cells: Cells, k: int, bounded: bool) -> DataFrame:
-    """(id, vector, cell, block): a row for every block that a query meets; with `bounded` all its bound allows."""
+    """(id, vector, cell, block): a row for every block that a query meets; with `bounded` all its bound allows, and the bound."""
     pivots, n_blocks, pick = cells.pivots, cells.n_blocks, Cells.near_cells if bounded else Cells.first_cells
     shell = Cells.__new__(Cells)  # the figures alone, without tables, for the tasks
     shell.sizes, shell.radii, shell.block_rows = cells.sizes, cells.radii, cells.block_rows
@@ -110,9 +114,25 @@ def _dealt(queries: DataFrame, cells: Cells, k: int, bounded: bool) -> DataFrame
                         who += [i] * len(met)
                         cell += [c] * len(met)
                         block += met
-                yield pd.DataFrame({"id": part["id"].iloc[who], "vector": part["vector"].iloc[who], "cell": cell, "block": block})
+                yield part[handed].iloc[who].assign(cell=cell, block=block)
 
-    return queries.mapInPandas(run, f"id {cells.id_type}, vector array<double>, cell int, block int")
+    kind = queries.schema["vector"].dataType.simpleString()
+    handed = ["id", "vector", "bound"] if bounded else ["id", "vector"]
+    return queries.mapInPandas(run, f"id {cells.id_type}, vector {kind}, {'bound double, ' if bounded else ''}cell int, block int")
+
+
+def _above_bound(k: int):
+    """The k best of a block, without those that a query's bound rules out."""
+    top = _block_top(k)
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = top(left, right)
+        if "bound" not in left:
+            return found
+        bound = found["id"].map(left.groupby("id")["bound"].min()).astype(float)
+        return found[~(found["similarity"] < bound - _SLACK)]  # a query without a bound keeps all
+
+    return run
 
 
 def _met(dealt: DataFrame, cells: Cells, k: int) -> DataFrame:
@@ -120,20 +140,21 @@ def _met(dealt: DataFrame, cells: Cells, k: int) -> DataFrame:
     dealt = cut_lineage(dealt)
     units = dealt.groupBy("cell", "block").agg(F.ceil(F.count("*") / cells.block_rows).cast("int").alias("parts"))
     units = broadcast_if_small(cut_lineage(units))
-    left = dealt.join(units, ["cell", "block"]).select("id", "vector", "cell", "block", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"))
+    own = [c for c in dealt.columns if c not in ("cell", "block")]
+    left = dealt.join(units, ["cell", "block"]).select(*own, "cell", "block", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"))
     right = cells.rows.join(units, ["cell", "block"]).select(
         "id", "vector", "cell", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
     keys = ("cell", "block", "part")
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        _block_top(k), f"id {cells.id_type}, neighbour {cells.id_type}, similarity double"
+        _above_bound(k), f"id {cells.id_type}, neighbour {cells.id_type}, similarity double"
     )
     order = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def met_blocks(queries: DataFrame, cells: Cells, k: int) -> DataFrame:
-    """(id, vector, cell, block): the blocks that have to be met for exact results."""
+    """(id, vector, bound, cell, block): the blocks that have to be met for exact results."""
     plain = _plain(queries)
     first = _met(_dealt(plain, cells, k, False), cells, k)
     bounds = first.where(F.col("rank") == k).select("id", F.col("similarity").alias("bound"))
