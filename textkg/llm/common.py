@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,30 @@ BLANKS = r"[\x20\x09-\x0D]+"
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def hand_back() -> None:
+    """Give memory that Arrow's pool and the C library's heap hold unused back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
+def handing_back(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """`run`, a generator over the batches of a task, that leaves no free memory in its worker when it ends.
+
+    Workers are used again, so what the allocators hold of earlier tasks and stages would add to what the JVM holds then.
+    """
+
+    @wraps(run)
+    def wrapped(*args):
+        try:
+            yield from run(*args)
+        finally:
+            hand_back()
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

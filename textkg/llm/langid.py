@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textkg.llm.common import fold
+from textkg.llm.common import fold, handing_back
 
 PER_LANGUAGE = 1024
 LANDMARKS = 64
@@ -109,6 +109,7 @@ def train(docs: DataFrame, sample: DataFrame, ridge: float = RIDGE) -> tuple[lis
     chosen = sample.groupBy("doc_id").agg(F.min("lang").alias("lang"), F.max("landmark").alias("landmark"))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # its size is bounded by the parameters
 
+    @handing_back
     def bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -126,6 +127,7 @@ def train(docs: DataFrame, sample: DataFrame, ridge: float = RIDGE) -> tuple[lis
     marks = [m / np.maximum(np.sqrt(m.sum(axis=1, keepdims=True)), 1) for m in np.split(marks, np.cumsum(SIZES)[:-1], axis=1)]
     shared = docs.sparkSession.sparkContext.broadcast(packed)
 
+    @handing_back
     def against(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, _BATCH):
@@ -159,6 +161,7 @@ def identify_languages(
     languages, folded = train(plain, labelled_sample(plain, folds, held_out, per_language, landmarks))
     shared = docs.sparkSession.sparkContext.broadcast((languages, folded))
 
+    @handing_back
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
         for batch in batches:

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textkg.llm.common import byte_slices
+from textkg.llm.common import byte_slices, handing_back
 from textkg.llm.suffix_dedup import PrefixHashes, _mix
 from textkg.operators.closure import connected_components
 from textkg.session import broadcast_if_small, cut_lineage
@@ -126,6 +126,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _sets_table(keyed: DataFrame, share: int) -> DataFrame:
     """(d, t, n, fp, need, prefix) of every row; the prefix holds 6 bytes of each hash."""
 
+    @handing_back
     def run(batches):
         for batch in (part for whole in batches for part in byte_slices(whole, 2, _CHUNK)):
             rows = []
@@ -154,6 +155,7 @@ def _of_sets(rows: DataFrame, sets: DataFrame, value: str) -> DataFrame:
 def _shared(packed: DataFrame, width: int) -> DataFrame:
     """(sig, total, fp) from (fp, hashes of `width` bytes): the hashes that occur more than once. Each is one row a batch."""
 
+    @handing_back
     def run(batches):
         for batch in batches:
             fps, values = batch.column(0).to_numpy(), batch.column(1).to_pylist()
@@ -218,6 +220,7 @@ def set_signatures(n: int, counts: np.ndarray, sigs: np.ndarray, share: int = SH
 def _signatures(shared: DataFrame, share: int, frequent: int) -> DataFrame:
     """(fp, n, rank, sig) from (fp, n, s: counts and shingles)."""
 
+    @handing_back
     def run(batches):
         for batch in batches:
             for fp, n, s in zip(*(c.to_pylist() for c in batch.columns)):
@@ -245,6 +248,7 @@ def parity_bits(found: np.ndarray) -> bytes:
 def _members(texts: DataFrame) -> DataFrame:
     """(fp, members, bits): the shingle hashes of each set, packed, and their parities."""
 
+    @handing_back
     def run(batches):
         for batch in (part for whole in batches for part in byte_slices(whole, 1, _CHUNK)):
             fps = batch.column(0)
@@ -258,6 +262,7 @@ def _members(texts: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, members: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) that link."""
 
+    @handing_back
     def run(batches):
         for batch in batches:
             x, y = ([np.frombuffer(v, "<u8") for v in batch.column(i).to_pylist()] for i in (2, 3))
@@ -302,6 +307,7 @@ def _open_pairs(rows: DataFrame, members: DataFrame, share: int, block: int) ->
         at = first.offsets.to_numpy()[:-1, None] + np.minimum(np.arange(FIRSTS), sizes[:, None] - 1)
         return ends - ends[0], bits, first.values.to_numpy()[at], *(flat.field(k).to_numpy() for k in ("fp", "n", "label"))
 
+    @handing_back
     def run(batches):
         for batch in batches:
             (ends, bits, first, *x), (ends2, bits2, first2, *y) = parts(batch.column(0)), parts(batch.column(1))

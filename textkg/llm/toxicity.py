@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkg.llm.common import fold
+from textkg.llm.common import fold, handing_back
 
 MAX_LABELLED = 20_000
 MAX_TERMS = 512
@@ -182,6 +182,7 @@ def labelled_sample(labels: DataFrame, folds: int, held_out: int, limit: int) ->
 def learn_lexicon(sample: DataFrame, text_col: str, max_terms: int = MAX_TERMS) -> Lexicon:
     """Words and stems whose share of toxic sample texts is at least 25 times that of clean ones."""
 
+    @handing_back
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = (Counter(), Counter())
@@ -256,6 +257,7 @@ def score_toxicity(
     words, stems = ([t for t, s in lexicon.terms if s == kind] for kind in (False, True))
     n = len(FEATURES)
 
+    @handing_back
     def features(batches: Iterable[pa.RecordBatch], keep: list[int], weights: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         own = Lexicon(words, stems)
         for batch in batches:
