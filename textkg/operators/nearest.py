@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
+# Numbers of the vectors in a block of a large table.
+BLOCK_NUMBERS = 1 << 21
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
@@ -52,6 +54,14 @@ def _chunk_top(q: np.ndarray, c: np.ndarray, same: np.ndarray, k: int) -> tuple[
     return rows[kept], cols[kept], exact[kept]
 
 
+def _comparable(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids as numbers that are equal where the ids are; strings are too slow to compare for every pair."""
+    if left.dtype != object:
+        return left, right
+    codes = pd.factorize(np.concatenate([left, right]))[0].astype(np.int32)
+    return codes[: len(left)], codes[len(left) :]
+
+
 def _block_top(k: int):
     def top(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -59,34 +69,56 @@ def _block_top(k: int):
         # sorted candidates make the lower column the lower id
         right = right.sort_values("id", kind="stable")
         q_ids, c_ids = left["id"].to_numpy(), right["id"].to_numpy()
+        q_same, c_same = _comparable(q_ids, c_ids)
         q, c = _unit_rows(left["vector"]), _unit_rows(right["vector"])
         found = []
         for at in range(0, len(q_ids), _CHUNK_ROWS):
             part = slice(at, at + _CHUNK_ROWS)
-            rows, cols, sims = _chunk_top(q[part], c, q_ids[part, None] == c_ids[None, :], k)
+            rows, cols, sims = _chunk_top(q[part], c, q_same[part, None] == c_same[None, :], k)
             found.append(pd.DataFrame({"id": q_ids[part][rows], "neighbour": c_ids[cols], "similarity": sims}))
         return pd.concat(found)
 
     return top
 
 
-def cosine_top_k(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _measure(vectors: DataFrame) -> tuple[int, int]:
+    """(rows, numbers in the longest vector)."""
+    rows, size = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
+    return rows, max(size or 1, 1)
+
+
+def cosine_top_k(queries: DataFrame, candidates: DataFrame, k: int, block_rows: int | None = None) -> DataFrame:
     """(id, neighbour, similarity, rank) of the k most similar candidates of each query, itself left out.
 
     Both inputs have (id, vector ARRAY) with unique ids of one type. Similarity is rounded to six digits; ties go to the
     lower id.
+
+    A row is sent to as many tasks as the other side has blocks, in its own precision. So blocks are as large as a task holds well, and only
+    small tables are cut finer, down to BLOCK_ROWS, to give every core some.
     """
-    q_blocks = max(1, math.ceil(queries.count() / block_rows))
-    c_blocks = max(1, math.ceil(candidates.count() / block_rows))
+    spark = queries.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    (n_queries, q_size), (n_candidates, c_size) = _measure(queries), _measure(candidates)
+
+    def blocks(n: int) -> int:
+        if block_rows is not None:
+            return max(1, math.ceil(n / block_rows))
+        large = math.ceil(n * max(q_size, c_size) / BLOCK_NUMBERS)
+        return max(1, large, min(math.ceil(n / BLOCK_ROWS), math.ceil(math.sqrt(8 * cores))))
+
+    q_blocks, c_blocks = blocks(n_queries), blocks(n_candidates)
+    # a fixed number of tasks, as their work is large for their bytes
+    tasks = min(q_blocks * c_blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * cores))
     key = queries.schema["id"].dataType.simpleString()
 
     def side(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.select(
-            "id",
-            F.col("vector").cast("array<double>").alias("vector"),
+        dealt = df.select(
+            F.col("id").alias("id"),
+            F.col("vector").alias("vector"),
             F.pmod(F.xxhash64("id"), F.lit(n_own)).alias(own),
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint"))).alias(other),
         )
+        return dealt.repartition(tasks, "qb", "cb")
 
     left = side(queries, "qb", q_blocks, "cb", c_blocks).groupBy("qb", "cb")
     right = side(candidates, "cb", c_blocks, "qb", q_blocks).groupBy("qb", "cb")
