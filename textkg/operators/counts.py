@@ -19,6 +19,23 @@ def lemma_tokens(corpus: DataFrame) -> DataFrame:
     return corpus.select("doc_id", F.inline(lemmas(tokens(F.col("text")))))
 
 
+def gram_rows(docs: DataFrame, words: str, *sizes: int) -> DataFrame:
+    """(size, gram), one row per window of each size in an array of words without nulls, the windows `ngrams` lists.
+
+    Places are rows before words are joined, so this runs as compiled code and not as a lambda per place.
+    """
+    held = docs.select(F.col(words).alias("__words")).where(F.size("__words") > 0)
+    last = F.size("__words") - min(sizes)
+    at = held.select("__words", F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).alias("__at"))
+
+    def gram(n: int) -> Column:
+        window = F.concat_ws(" ", *[F.get("__words", F.col("__at") + i) for i in range(n)])
+        return F.when((F.col("__at") == 0) | (F.col("__at") <= F.size("__words") - n), window)
+
+    found = F.array(*[F.struct(F.lit(n).alias("size"), gram(n).alias("gram")) for n in sizes])
+    return at.select(F.inline(found)).where("gram IS NOT NULL")
+
+
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textkg.functions import tagging as tg
 from textkg.functions import text as tx
+from textkg.operators import counts as ct
 from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
@@ -258,19 +259,18 @@ def _gram_sql(n: int) -> str:
     SELECT gram, count(*) AS n FROM g GROUP BY gram"""
 
 
-def _gram_counts(spark, sf, grams):
-    words = v.doc_tokens(spark, sf).select(tx.drop_words(F.col("words")).alias("w"))
-    return words.select(F.explode(grams(F.col("w"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+def _gram_rows(spark, sf, *sizes):
+    return ct.gram_rows(once(v.doc_tokens(spark, sf), "w", tx.drop_words(F.col("words"))), "w", *sizes)
 
 
 @query("bigrams", _gram_sql(2))
 def bigrams(spark, sf):
-    return _gram_counts(spark, sf, lambda w: tx.ngrams(w, 2))
+    return ct.count_by(_gram_rows(spark, sf, 2), "gram")
 
 
 @query("trigrams", _gram_sql(3))
 def trigrams(spark, sf):
-    return _gram_counts(spark, sf, lambda w: tx.ngrams(w, 3))
+    return ct.count_by(_gram_rows(spark, sf, 3), "gram")
 
 
 @query(
@@ -281,11 +281,4 @@ def trigrams(spark, sf):
     SELECT size, gram, count(*) AS n FROM g GROUP BY ALL""",
 )
 def ngrams_1_to_n(spark, sf):
-    words = once(v.doc_tokens(spark, sf), "w", tx.drop_words(F.col("words")))
-    sizes = F.array(*[F.struct(F.lit(n).alias("size"), tx.ngrams(F.col("w"), n).alias("g")) for n in (1, 2, 3)])
-    return (
-        words.select(F.inline(sizes))
-        .select("size", F.explode("g").alias("gram"))
-        .groupBy("size", "gram")
-        .agg(F.count("*").alias("n"))
-    )
+    return ct.count_by(_gram_rows(spark, sf, 1, 2, 3), "size", "gram")
