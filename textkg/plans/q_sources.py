@@ -19,7 +19,7 @@ from textkg.plans import sqltext as sq
 from textkg.plans import views as v
 from textkg.plans.catalog import query
 from textkg.plans.q_graph import _EDGES, _FOLLOW, _KG, _TRIPLETS, _TYPES
-from textkg.session import scratch_path
+from textkg.session import scratch_path, spread
 from textkg.sources import annotations as an
 from textkg.sources import articles as ar
 from textkg.sources import ontology_files as of
@@ -193,7 +193,8 @@ def _doc_lines(spark, sf):
     lines = F.filter(
         F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != ""
     )
-    return v.table(spark, sf, "documents").select("doc_id", "source", "lang", lines.alias("l"))
+    docs = spread(v.table(spark, sf, "documents").select("doc_id", "source", "lang", "text"))
+    return docs.select("doc_id", "source", "lang", lines.alias("l"))
 
 
 @query(
