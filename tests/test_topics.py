@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textkg.operators import topics as tp
 from textkg.registry import fingerprint, kept_table
+from textkg.session import cut_lineage, reclaim, shared_dir
 
 TEXTS = ["cell gene cell protein", "gene protein cell", "court law judge", "law court trial judge law", "", "é é", "cell court"]
 
@@ -103,6 +106,37 @@ def test_no_rows(spark, counts):
         tp.fit_topics(none, terms, alpha=1.0)
 
 
+def _exchanges(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size())}
+
+
+def test_a_fit_leaves_no_tables_and_no_exchanges(spark, counts):
+    terms = cut_lineage(tp.vocabulary(counts))
+    found = cut_lineage(tp.count_rows(counts, terms))
+    scratch = Path(shared_dir(spark).removeprefix("file:")) / "scratch"
+    reclaim(spark)
+    tables, files = set(scratch.iterdir()), _exchanges(spark)
+    weights = tp.fit_topics(found, terms, 2, 12)
+    assert len(set(scratch.iterdir()) - tables) == 1  # the weights
+    until = time.time() + 20  # Spark deletes them in the background
+    while time.time() < until and (left := {f for f in _exchanges(spark) - files if f.endswith(".data")}):
+        time.sleep(0.2)
+    assert not left
+    assert weights.count() == len({w for t in TEXTS for w in t.split()}) + sum(bool(t) for t in TEXTS)
+
+
+def test_packed_counts_give_the_same_fit(spark, counts):
+    terms = tp.vocabulary(counts)
+    found = tp.count_rows(counts, terms)
+    packed = tp.packed_counts(found)
+    names = ["kind", "id", "g0", "g1"]
+    one, other = (tp.fit_topics(x, terms, 2, 3, 2.0, 2.0, p) for x, p in ((found, None), (None, packed)))
+    assert rows(one.select(*names)) == rows(other.select(*names))
+    likelihoods = [tp.log_likelihood(x, one, terms.count(), 2, 2.0, 2.0, p).first()[0] for x, p in ((found, None), (None, packed))]
+    assert likelihoods[0] == pytest.approx(likelihoods[1], rel=1e-12)
+
+
 # ---- registry -----------------------------------------------------------------------------------------------------
 
 
