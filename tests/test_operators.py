@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.ml.feature import ElementwiseProduct, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from textkg.functions.text import STOPWORDS
@@ -440,3 +442,56 @@ def test_topics(spark, optimizer):
     assert len(terms) == 6 and {r.term for r in terms} <= set(" ".join(texts).split())
     likelihood = ml.mean_log_likelihood(model, len(texts))
     assert (likelihood is not None and likelihood < 0) if optimizer == "em" else likelihood is None
+
+
+def test_topics_of_a_fit_by_em(spark):
+    texts = ["cell gene cell protein", "gene protein cell", "", "court law judge", "law court trial judge"]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id int, text string")
+    vectors, vocabulary = ml.count_vectors(docs, "text", STOPWORDS)
+    n = len(vocabulary.vocabulary)
+
+    def fitted(iterations):
+        model = ml.fit_topics(vectors, 2, iterations, alpha=3.0, eta=2.0)
+        return model, {(r.kind, r.id): (r.g0, r.g1) for r in model.weights.collect()}
+
+    start, after = fitted(0)[1], fitted(2)[1]
+    assert {key[0]: 0 for key in start} == {"t": 0, "d": 0} and len(start) == n + 4  # a document without words has no weights
+    # the same two rounds in plain python
+    found = {(r.doc_id, r.id): r.n for r in ml._vector_counts(vectors).collect()}
+    for _ in range(2):
+        total = [sum(x[i] for (kind, _), x in start.items() if kind == "t") + n for i in range(2)]
+        nxt = defaultdict(lambda: [0.0, 0.0])
+        for (doc, term), count in found.items():
+            x = [(start["t", term][i] + 1.0) * (start["d", doc][i] + 2.0) / total[i] for i in range(2)]
+            for i in range(2):
+                nxt["t", term][i] += count * x[i] / sum(x)
+                nxt["d", doc][i] += count * x[i] / sum(x)
+        start = nxt
+    assert set(after) == set(start) and all(after[key] == pytest.approx(start[key]) for key in after)
+    halves = vectors.select("doc_id", F.col("features").alias("whole")).crossJoin(spark.range(1))  # weights need not be whole numbers
+    halves = VectorAssembler(inputCols=["whole"], outputCol="all").transform(halves)
+    halves = ElementwiseProduct(scalingVec=Vectors.dense([0.5] * n), inputCol="all", outputCol="features").transform(halves)
+    weights = ml.fit_topics(halves, 2, 1, alpha=3.0, eta=2.0).weights
+    assert weights.where("kind = 't'").agg(F.sum(F.col("g0") + F.col("g1"))).first()[0] == pytest.approx(sum(found.values()) / 2)
+
+
+def test_topic_queries_fit_with_all_rounds(spark, tmp_path, monkeypatch):
+    """Fifty rounds with the settings of the model, not a part of them."""
+    from textkg.operators import topics as tp
+    from textkg.plans import load_all
+
+    texts = ["cell gene cell protein", "gene protein cell", "court law judge", "law court trial judge"]
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id int, text string, lang string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    called, rounds, shares = [], [], tp._Blocks.shares
+
+    def fit(rows, terms, *settings):
+        called.append(settings[:4])
+        return tp_fit(rows, terms, *settings)
+
+    tp_fit = tp.fit_topics
+    monkeypatch.setattr(tp, "fit_topics", fit)
+    monkeypatch.setattr(tp._Blocks, "shares", lambda self, *a: rounds.append(1) or shares(self, *a))
+    assert load_all().QUERIES["lda_topics"](spark, str(tmp_path)).groupBy("topic").count().count() == 3
+    assert called == [(3, 50, 100.0, 500.0)] and len(rounds) == 51
