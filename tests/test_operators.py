@@ -495,3 +495,15 @@ def test_topic_queries_fit_with_all_rounds(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tp._Blocks, "shares", lambda self, *a: rounds.append(1) or shares(self, *a))
     assert load_all().QUERIES["lda_topics"](spark, str(tmp_path)).groupBy("topic").count().count() == 3
     assert called == [(3, 50, 100.0, 500.0)] and len(rounds) == 51
+
+
+def test_the_fit_has_the_whole_size(spark, tmp_path):
+    """A thousand numbers a word, as in the reference."""
+    from textkg.plans import load_all
+
+    texts = ["the cat sat on the mat and the cat ran"] * 6
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id int, text string, lang string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    assert load_all().QUERIES["w2v_fit"](spark, str(tmp_path)).collect() == [(7, 1000)]
+    assert "1000 AS vector_size" in load_all().ORACLES["w2v_fit"]
