@@ -31,15 +31,38 @@ _MARGIN = 2e-5
 _CHUNK_ROWS = 512
 
 
-def _chunk_top(q: np.ndarray, c: np.ndarray, same: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, similarity) of the k best columns per row; of equal values the lower columns."""
-    rough = q.astype(np.float32) @ c.astype(np.float32).T
+# Columns that give a row its first bound.
+_FIRST_COLUMNS = 4096
+
+
+def _near_bound(rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the products that may be among the k best of their row.
+
+    The k-th best of a few columns bounds a row from below, so most products are only compared with it; what is left is ranked.
+    """
+    some = rough[:, : max(_FIRST_COLUMNS, 8 * k)]
+    if some.shape[1] <= k:
+        return np.nonzero(np.isfinite(rough))
+    kth = np.partition(some, some.shape[1] - k, axis=1)[:, -k]
+    rows, cols = np.divmod(np.flatnonzero(rough >= (kth - _MARGIN)[:, None]), rough.shape[1])
+    if some.shape[1] == rough.shape[1]:
+        return rows, cols
+    values = rough[rows, cols]
+    order = np.lexsort((-values, rows))
+    starts = np.searchsorted(rows, np.arange(len(rough)))
+    last = np.minimum(starts + k - 1, np.append(starts[1:], len(rows)) - 1)  # a row has k at least, unless none of its products is a number
+    kth = np.where(last >= starts, values[order[np.maximum(last, 0)]], np.nan) if len(rows) else np.full(len(rough), np.nan)
+    kept = values >= kth[rows] - _MARGIN
+    return rows[kept], cols[kept]
+
+
+def _chunk_top(
+    q: np.ndarray, c: np.ndarray, c_rough: np.ndarray, same: tuple[np.ndarray, np.ndarray], k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, similarity) of the k best columns per row; of equal values the lower columns. `same` has the pairs left out."""
+    rough = q.astype(np.float32) @ c_rough.T
     rough[same] = -np.inf
-    if rough.shape[1] > k:
-        kth = np.partition(rough, rough.shape[1] - k, axis=1)[:, -k]
-        rows, cols = np.nonzero(rough >= (kth - _MARGIN)[:, None])
-    else:
-        rows, cols = np.nonzero(np.isfinite(rough))
+    rows, cols = _near_bound(rough, k)
     finite = np.isfinite(rough[rows, cols])
     rows, cols = rows[finite], cols[finite]
     exact = np.empty(len(rows))
@@ -54,6 +77,16 @@ def _chunk_top(q: np.ndarray, c: np.ndarray, same: np.ndarray, k: int) -> tuple[
     return rows[kept], cols[kept], exact[kept]
 
 
+def _same_pairs(left: np.ndarray, right: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of equal ids; `order` sorts the right ones."""
+    first, end = (np.searchsorted(right, left, side, sorter=order) for side in ("left", "right"))
+    n = end - first
+    if left.dtype.kind == "f":
+        n[np.isnan(left)] = 0  # ids that are missing equal none
+    rows = np.repeat(np.arange(len(left)), n)
+    return rows, order[np.repeat(first, n) + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)]
+
+
 def _comparable(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids as numbers that are equal where the ids are; strings are too slow to compare for every pair."""
     if left.dtype != object:
@@ -71,10 +104,11 @@ def _block_top(k: int):
         q_ids, c_ids = left["id"].to_numpy(), right["id"].to_numpy()
         q_same, c_same = _comparable(q_ids, c_ids)
         q, c = _unit_rows(left["vector"]), _unit_rows(right["vector"])
+        c_rough, order = c.astype(np.float32), np.argsort(c_same, kind="stable")
         found = []
         for at in range(0, len(q_ids), _CHUNK_ROWS):
             part = slice(at, at + _CHUNK_ROWS)
-            rows, cols, sims = _chunk_top(q[part], c, q_same[part, None] == c_same[None, :], k)
+            rows, cols, sims = _chunk_top(q[part], c, c_rough, _same_pairs(q_same[part], c_same, order), k)
             found.append(pd.DataFrame({"id": q_ids[part][rows], "neighbour": c_ids[cols], "similarity": sims}))
         return pd.concat(found)
 
