@@ -38,3 +38,14 @@ def test_marked_keys_leave_out_most_pieces_and_lose_no_pair(spark, monkeypatch):
     monkeypatch.setattr(matching, "BROADCAST_BYTES", -1)
     assert rows(matching.substring_pairs(texts, "t", terms, "w")) == plain
     assert len(plain) == 5
+
+
+def test_types_are_written_before_they_are_looked_up(spark):
+    """What is left to do has no pieces of holders, so their exchanges are off the disk, and the sides are the same when read late."""
+    triples = spark.createDataFrame([("cat", "p", "catfish"), ("fish", "q", "dog"), ("x", "r", "")], "subject string, predicate string, object string")
+    typed = spark.createDataFrame([("catfish", "Species"), ("hotdog", "Food")], "entity string, type string")
+    types = tr.triple_types(triples, typed, typed)
+    plan = types._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "parquet" in plan
+    want = {("cat", "Species", "Species"), ("fish", "Species", "Food"), ("x", "Other", "Other")}
+    assert {(r.subject, r.subject_type, r.object_type) for r in types.collect()} == want
